@@ -9,8 +9,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-TILE_ROWS = 4096
-TILE_QUERIES = 1024
+FIRST_ROWS = 256
+TILE_ROWS = 2048
+TILE_QUERIES = 512
+PAIR_BLOCK = 1 << 21
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -53,22 +55,13 @@ def exact_cost(q: np.ndarray, x: np.ndarray, metric: str) -> np.ndarray:
     return -np.einsum("ij,ij->i", q.astype(np.float64), x.astype(np.float64))
 
 
-def _gemm_cost(q, x, metric, dtype):
-    """All-pairs cost of a tile and a bound on its error, per query.
-
-    L2 leaves out the query's own norm, which is the same along a row.
-    """
-    qd, xd = q.astype(dtype), x.astype(dtype)
-    dots = qd @ xd.T
-    q_len = np.sqrt(sq_norms(q.astype(np.float64)))
-    x_len = np.sqrt(sq_norms(x.astype(np.float64)).max())
-    slack = 2 * (q.shape[1] + 8) * np.finfo(dtype).eps * (q_len + x_len) ** 2
-    if metric == "l2":
-        dots *= -2
-        dots += sq_norms(xd)
-        return dots, q_len**2, slack
-    np.negative(dots, out=dots)
-    return dots, np.zeros_like(q_len), slack
+def _positions(mask: np.ndarray) -> np.ndarray:
+    """Flat positions of the true elements, eight at a time as few are true."""
+    if mask.size % 8:
+        return np.flatnonzero(mask)
+    word = np.flatnonzero(mask.reshape(-1).view(np.uint64))
+    part, bit = np.nonzero(mask.reshape(-1, 8)[word])
+    return word[part] * 8 + bit
 
 
 class TopK:
@@ -83,42 +76,67 @@ class TopK:
         self.qids, self.queries, self.k, self.metric = qids, queries, k, metric
         self.cost = np.full((len(qids), k), np.inf)
         self.ids = np.full((len(qids), k), NO_ID, np.int64)
+        self.seen = np.zeros(len(qids), np.int64)
+        self.length = np.sqrt(sq_norms(queries.astype(np.float64)))
+        self.left = {}
+
+    def _left(self, dtype) -> np.ndarray:
+        """Query side of the matrix product: ``[-2q, 1]`` for L2, ``[-q]`` otherwise."""
+        if dtype not in self.left:
+            q = self.queries.astype(dtype)
+            one = np.ones((len(q), 1), dtype)
+            self.left[dtype] = np.hstack([-2 * q, one]) if self.metric == "l2" else -q
+        return self.left[dtype]
+
+    def _right(self, x: np.ndarray, dtype) -> np.ndarray:
+        """Row side: ``[x, |x|^2]`` for L2, so a product gives ``|x|^2 - 2qx``."""
+        x = x.astype(dtype, copy=False)
+        return np.hstack([x, sq_norms(x)[:, None]]) if self.metric == "l2" else x
 
     def push(self, ids: np.ndarray, rows: np.ndarray, only: np.ndarray | None = None) -> None:
         """Offer a block of rows to all queries, or to the query positions ``only``."""
         picked = np.arange(len(self.qids)) if only is None else only
-        for qs in range(0, len(picked), TILE_QUERIES):
-            sel = picked[qs : qs + TILE_QUERIES]
-            start, step = 0, max(256, 4 * self.k)
-            while start < len(ids):
-                if np.isfinite(self.cost[sel, -1]).all():
-                    step = TILE_ROWS
-                self._tile(sel, ids[start : start + step], rows[start : start + step])
-                start += step
-
-    def _tile(self, sel, ids, x) -> None:
-        q = self.queries[sel]
-        reach = float(np.abs(q).max(initial=0)) + float(np.abs(x).max(initial=0))
-        flat = self._shortlist(sel, q, x, np.float32) if reach < 1e15 else None
-        # coarse float32 error: score the tile again in float64
-        if flat is None or len(flat) > max(len(sel) * max(2 * self.k, 64), q.size):
-            flat = self._shortlist(sel, q, x, np.float64)
-        step = max(1, (1 << 21) // max(1, x.shape[1]))
-        for s in range(0, len(flat), step):
-            qi, xi = np.divmod(flat[s : s + step], len(ids))
-            self._merge(sel[qi], exact_cost(q[qi], x[xi], self.metric), ids[xi])
-
-    def _shortlist(self, sel, q, x, dtype):
-        approx, shift, slack = _gemm_cost(q, x, self.metric, dtype)
-        limit = self.cost[sel, -1] - shift + slack
-        if not np.isfinite(limit).all():
-            if x.shape[0] > self.k:
+        start = 0
+        while start < len(ids) and len(picked):
+            # tiles grow with what was seen: each step offers few new candidates
+            size = int(np.clip(self.seen[picked].min(), FIRST_ROWS, TILE_ROWS))
+            x, x_ids = rows[start : start + size], ids[start : start + size]
+            x_length = np.sqrt(sq_norms(x.astype(np.float64)).max())
+            right = {}
+            for qs in range(0, len(picked), TILE_QUERIES):
+                sel = picked[qs : qs + TILE_QUERIES]
+                near = self._shortlist(sel, x, x_length, right)
+                step = max(1, PAIR_BLOCK // x.shape[1])
+                for s in range(0, len(near), step):
+                    qi, xi = np.divmod(near[s : s + step], len(x))
+                    cost = exact_cost(self.queries[sel[qi]], x[xi], self.metric)
+                    self._merge(sel[qi], cost, x_ids[xi])
+            self.seen[picked] += len(x)
+            start += size
+
+    def _shortlist(self, sel, x, x_length: float, right: dict) -> np.ndarray:
+        """Flat positions of the pairs of a tile that may enter the k best.
+
+        float32 serves unless its error leaves many pairs or it would overflow.
+        """
+        reach = self.length[sel] + x_length
+        for dtype in (np.float32, np.float64):
+            if dtype is np.float32 and reach.max() > 1e15:
+                continue
+            if dtype not in right:
+                right[dtype] = self._right(x, dtype).T
+            approx = self._left(dtype)[sel] @ right[dtype]
+            slack = 2 * (x.shape[1] + 8) * np.finfo(dtype).eps * reach**2
+            shift = self.length[sel] ** 2 if self.metric == "l2" else 0.0
+            limit = self.cost[sel, -1] - shift + slack
+            if not np.isfinite(limit).all() and len(x) > self.k:
                 kth = np.partition(approx, self.k - 1, axis=1)[:, self.k - 1].astype(np.float64)
                 limit = np.minimum(limit, kth + 2 * slack)
-            else:
-                limit = np.full(len(sel), np.inf)
-        limit = np.nextafter(limit.astype(dtype), dtype(np.inf))
-        return np.flatnonzero(approx <= limit[:, None])
+            limit = np.nextafter(limit.astype(dtype), dtype(np.inf))
+            near = _positions(approx <= limit[:, None])
+            if len(near) <= len(sel) * max(4 * self.k, 64):
+                break
+        return near
 
     def _merge(self, qi, cost, ids) -> None:
         if not len(qi):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -28,8 +29,9 @@ MAX_PROBED_LISTS = 4096
 class IvfIndex:
     """Rows ``(list_id, id, <vector columns>, payload...)`` under trained centroids.
 
-    ``decode`` turns a batch of rows back into vectors. ``bucket_lists`` is the
-    number of neighbouring lists that share a stored partition, where stored.
+    ``encode`` compresses rows ``(list_id, id, vec, ...)`` as they are added, and
+    ``decode`` turns a batch of stored rows back into vectors. ``bucket_lists``
+    is the number of neighbouring lists that share a stored partition.
     """
 
     dim: int
@@ -37,7 +39,8 @@ class IvfIndex:
     metric: str = "l2"
     model: KMeansModel | None = None
     rows: DataFrame | None = None
-    decode: object = None
+    encode: Callable[[DataFrame], DataFrame] | None = None
+    decode: Callable | None = None
     bucket_lists: int | None = None
 
     @property
@@ -95,8 +98,17 @@ def ivf_add(index: IvfIndex, table: VectorTable) -> IvfIndex:
     if table.dim != index.dim:
         raise ValueError(f"table has dim {table.dim}, expected {index.dim}")
     listed = to_lists(index, table.df)
+    if index.encode is not None:
+        listed = index.encode(listed)
+    if index.bucket_lists:
+        listed = with_bucket(listed, index.bucket_lists)
     rows = listed if index.rows is None else index.rows.unionByName(listed, True)
-    return replace(index, rows=rows, decode=Flat(index.dim), bucket_lists=None)
+    return replace(index, rows=rows, decode=index.decode or Flat(index.dim))
+
+
+def with_bucket(rows: DataFrame, bucket_lists: int) -> DataFrame:
+    """Rows with the number of the stored partition their list belongs to."""
+    return rows.withColumn("bucket", F.floor(F.col("list_id") / bucket_lists).cast("int"))
 
 
 def to_lists(index: IvfIndex, df: DataFrame) -> DataFrame:

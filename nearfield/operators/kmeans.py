@@ -120,7 +120,8 @@ def _start_matrix(start: DataFrame, k: int, dim: int) -> np.ndarray:
 
 def _sums(df: DataFrame, centroids: np.ndarray, dim: int):
     """Vector sum, row count and cost per cluster for one assignment pass."""
-    shared = df.sparkSession.sparkContext.broadcast(centroids)
+    spark = df.sparkSession
+    shared = spark.sparkContext.broadcast(centroids)
 
     def add(batches):
         model = shared.value
@@ -147,16 +148,30 @@ def _sums(df: DataFrame, centroids: np.ndarray, dim: int):
 
     partial = (
         df.select("vec")
-        .coalesce(sizing.merge_width(df.sparkSession))
+        .coalesce(sizing.merge_width(spark))
         .mapInArrow(add, "cluster long, total array<double>, n long, cost double")
     )
-    merged = merge_sums(partial, F.sum("cost").alias("cost"))
-    sums, counts, cost = np.zeros_like(centroids), np.zeros(len(centroids), np.int64), 0.0
-    for row in merged.collect():
-        sums[row.cluster], counts[row.cluster] = row.total, row.n
-        cost += row.cost
+    if not few_sums(spark, centroids.size):
+        partial = merge_sums(partial, F.sum("cost").alias("cost"))
+    found = partial.toArrow()
     shared.destroy()
-    return sums, counts, cost
+    return *add_sums(found, centroids.shape), float(np.sum(found.column("cost").to_numpy()))
+
+
+def few_sums(spark: SparkSession, size: int) -> bool:
+    """Whether the partial sums of all tasks may go to the driver unmerged."""
+    return sizing.merge_width(spark) * size * 8 <= sizing.broadcast_bytes(spark)
+
+
+def add_sums(found: pa.Table, shape: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Vector sums and row counts per cluster from collected partial sums."""
+    sums, counts = np.zeros(shape), np.zeros(shape[0], np.int64)
+    cluster = found.column("cluster").to_numpy()
+    if len(cluster):
+        total = sizing.doubles(found.column("total").combine_chunks(), shape[1])
+        np.add.at(sums, cluster, total)
+        np.add.at(counts, cluster, found.column("n").to_numpy())
+    return sums, counts
 
 
 def merge_sums(partial: DataFrame, *more: Column) -> DataFrame:

@@ -16,13 +16,13 @@ from nearfield.functions.kernels import (
     Product,
     binary_matrix,
     blobs,
-    exact_cost,
     matrix,
     vectors,
 )
 from nearfield.operators.ivf import IvfIndex, to_lists
-from nearfield.operators.kmeans import merge_sums, nearest, next_centroids
+from nearfield.operators.kmeans import add_sums, few_sums, merge_sums, nearest, next_centroids
 from nearfield.plans import sizing
+from nearfield.plans.pairs import PairScorer
 from nearfield.plans.scan import rank_merge
 from nearfield.sources.table import VectorTable, check_positive
 
@@ -59,12 +59,24 @@ def half_decode(half: str = "half", dim: int = 0) -> Column:
 
 
 def ivf_half(index: IvfIndex) -> IvfIndex:
-    """Inverted lists with float16 rows, half the size of float32 ones."""
-    rows = index.require_rows()
-    if not isinstance(index.decode, Flat):
+    """Inverted lists with float16 rows, half the size of float32 ones.
+
+    Rows already in the index are converted; later ones as they are added.
+    """
+    _require_plain(index)
+    dim = index.dim
+
+    def encode(listed: DataFrame) -> DataFrame:
+        return listed.withColumn("half", half_encode("vec", dim)).drop("vec")
+
+    rows = None if index.rows is None else encode(index.rows)
+    return replace(index, rows=rows, encode=encode, decode=Half(dim))
+
+
+def _require_plain(index: IvfIndex) -> None:
+    index.require()
+    if not isinstance(index.decode, Flat | None):
         raise ValueError("rows are already compressed")
-    rows = rows.withColumn("half", half_encode("vec", index.dim)).drop("vec")
-    return replace(index, rows=rows, decode=Half(index.dim))
 
 
 @dataclass(frozen=True)
@@ -218,9 +230,9 @@ def _advance(df: DataFrame, books: np.ndarray) -> np.ndarray:
         .coalesce(sizing.merge_width(spark))
         .mapInArrow(add, "cluster long, total array<double>, n long")
     )
-    sums, counts = np.zeros((m * codes, width)), np.zeros(m * codes, np.int64)
-    for row in merge_sums(partial).collect():
-        sums[row.cluster], counts[row.cluster] = row.total, row.n
+    if not few_sums(spark, books.size):
+        partial = merge_sums(partial)
+    sums, counts = add_sums(partial.toArrow(), (m * codes, width))
     shared.destroy()
     return np.stack(
         [
@@ -253,26 +265,31 @@ def ivf_pq(index: IvfIndex, book: Codebook) -> IvfIndex:
     equal to the sum of per-sub-space table lookups; decoding a batch once and
     scoring it with a matrix product serves all queries that probe the list.
     """
-    rows = index.require_rows()
-    if not isinstance(index.decode, Flat):
-        raise ValueError("rows are already compressed")
+    _require_plain(index)
     if book.dim != index.dim:
         raise ValueError(f"codebook has dim {book.dim}, expected {index.dim}")
-    shifted = _minus_coarse(index, rows)
-    coded = shifted.withColumn("codes", pq_encode(rows, book)).drop("vec")
-    return product_rows(replace(index, rows=coded), book)
+    plain = index.rows
+    index = product_rows(replace(index, rows=None), book)
+    return index if plain is None else replace(index, rows=index.encode(plain))
 
 
 def product_rows(index: IvfIndex, book: Codebook) -> IvfIndex:
-    """Index over rows that hold codes already.
+    """Index whose rows are codes; rows it holds already must be codes.
 
     Coarse centroids beyond the broadcast limit are joined to the rows by list.
     """
-    rows, coarse = index.require_rows(), _coarse(index)
-    books = rows.sparkSession.sparkContext.broadcast(book.books)
-    if coarse is None:
+    spark, coarse = index.require().model.table.df.sparkSession, _coarse(index)
+    books = spark.sparkContext.broadcast(book.books)
+
+    def encode(listed: DataFrame) -> DataFrame:
+        shifted = _minus_coarse(index, listed)
+        coded = shifted.withColumn("codes", pq_encode(listed, book)).drop("vec")
+        return coded if coarse is not None else _join_coarse(index, coded)
+
+    rows = index.rows
+    if rows is not None and coarse is None:
         rows = _join_coarse(index, rows)
-    return replace(index, rows=rows, decode=Product(books, coarse))
+    return replace(index, rows=rows, encode=encode, decode=Product(books, coarse))
 
 
 def decoded(index: IvfIndex) -> DataFrame:
@@ -307,25 +324,6 @@ def quantization_error(index: IvfIndex, table: VectorTable) -> DataFrame:
     )
 
 
-def pair_distance(a: str, b: str, table: VectorTable) -> Column:
-    """Distance of two vector columns under the table's metric, batch by batch."""
-    dim, metric = table.dim, table.metric
-
-    @F.arrow_udf("double")
-    def measure(x: pa.Array, y: pa.Array) -> pa.Array:
-        cost = exact_cost(matrix(x, dim), matrix(y, dim), metric)
-        return pa.array(cost if metric == "l2" else 0.0 - cost)
-
-    return measure(a, b)
-
-
 def rerank(found: DataFrame, queries: DataFrame, table: VectorTable, k: int) -> DataFrame:
     """Exact top-k among the rows of an approximate result."""
-    rows = table.df.select("id", F.col("vec").alias("row_vec"))
-    scored = (
-        found.select("qid", "id")
-        .join(rows, "id")
-        .join(queries.select("qid", "vec"), "qid")
-        .select("qid", "id", pair_distance("vec", "row_vec", table).alias("distance"))
-    )
-    return rank_merge(scored, k, table.metric)
+    return rank_merge(PairScorer(queries, table)(found), k, table.metric)

@@ -32,8 +32,11 @@ def fits(spark: SparkSession, rows: int, dim: int) -> bool:
 
 def merge_width(spark: SparkSession) -> int:
     """How many partial top-k lists a scan may leave per query."""
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(4 * spark.sparkContext.defaultParallelism, shuffle)
+    return max(4 * spark.sparkContext.defaultParallelism, shuffle_partitions(spark))
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def small_matrix(df: DataFrame, key: str, dim: int, rows: int | None = None):

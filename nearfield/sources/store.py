@@ -9,10 +9,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from nearfield.functions.kernels import Flat, Half, Product
-from nearfield.operators.ivf import IvfIndex
+from nearfield.functions.kernels import Flat, Product
+from nearfield.operators.ivf import IvfIndex, with_bucket
 from nearfield.operators.kmeans import KMeansModel
-from nearfield.operators.quant import Codebook, codebook, product_rows
+from nearfield.operators.quant import Codebook, codebook, ivf_half, product_rows
 from nearfield.sources.table import VectorTable
 
 MAX_BUCKETS = 2000
@@ -60,9 +60,9 @@ def snapshot(table, path: str):
 
 
 def truncate(table: VectorTable | IvfIndex):
-    """Same dimension, metric and trained model without vectors; ids restart at 0."""
+    """Same dimension, metric, trained model and compression without vectors; ids restart at 0."""
     if isinstance(table, IvfIndex):
-        return replace(table, rows=None, decode=None, bucket_lists=None)
+        return replace(table, rows=None, bucket_lists=None)
     return replace(table, df=table.df.filter(F.lit(False)), rows=0)
 
 
@@ -110,12 +110,8 @@ def _save_lists(index: IvfIndex, path: str) -> None:
     if index.rows is not None:
         per_bucket = -(-index.nlist // MAX_BUCKETS)
         rows = index.rows.drop("bucket", "coarse")
-        rows = (
-            rows.repartitionByRange("list_id", "id")
-            .sortWithinPartitions("list_id", "id")
-            .withColumn("bucket", F.floor(F.col("list_id") / per_bucket).cast("int"))
-        )
-        meta["rows"] = _write(rows, f"{path}/lists", "bucket")
+        rows = rows.repartitionByRange("list_id", "id").sortWithinPartitions("list_id", "id")
+        meta["rows"] = _write(with_bucket(rows, per_bucket), f"{path}/lists", "bucket")
         meta["bucket_lists"] = per_bucket
         meta["storage"] = type(index.decode).__name__.lower()
         if isinstance(index.decode, Product):
@@ -135,5 +131,6 @@ def _load_lists(spark: SparkSession, path: str, meta: dict) -> IvfIndex:
     index = replace(index, rows=rows, bucket_lists=meta["bucket_lists"])
     if meta["storage"] == "product":
         return product_rows(index, codebook(spark.read.parquet(f"{path}/codebook")))
-    decode = Half(index.dim) if meta["storage"] == "half" else Flat(index.dim)
-    return replace(index, decode=decode)
+    if meta["storage"] == "half":
+        return replace(ivf_half(replace(index, rows=None)), rows=rows)
+    return replace(index, decode=Flat(index.dim))

@@ -65,34 +65,36 @@ def vector_table(
 
 
 def _checked(df: DataFrame, dim: int) -> DataFrame:
-    message = F.concat(
-        F.lit("vector "),
-        F.coalesce(F.col("id").cast("string"), F.lit("without id")),
-        F.lit(" rejected: "),
-        reject_reason(dim),
-        F.when(
-            F.col("vec").isNotNull(),
-            F.concat(F.lit(", size "), F.size("vec").cast("string")),
-        ).otherwise(""),
-        F.lit(f", expected {dim} finite elements"),
+    reason = _reason(dim, "id", "vec")
+    good = F.expr(
+        f"CASE WHEN {reason} IS NULL THEN vec ELSE raise_error(concat('vector ', "
+        f"coalesce(string(id), 'without id'), ' rejected: ', {reason}, "
+        f"coalesce(concat(', size ', string(size(vec))), ''), ', expected {dim} finite elements')) END"
     )
-    good = F.when(reject_reason(dim).isNull(), F.col("vec")).otherwise(F.raise_error(message))
     return df.withColumn("vec", good)
 
 
-def reject_reason(dim: int, id: str = "id", vec: str = "vec") -> Column:
-    """Name of the first broken rule, NULL for a good row."""
-    v = F.col(vec)
-    endless = F.lit(float("inf")).cast("float")
+def _reason(dim: int, id: str, vec: str) -> str:
+    """SQL text; array functions run as compiled loops, unlike lambdas.
+
+    ``array_contains`` is NULL when the value is missing and an element is null;
+    ``array_max`` takes NaN for the largest value.
+    """
     return (
-        F.when(F.col(id).isNull(), "null_id")
-        .when(v.isNull(), "null_vector")
-        .when(F.size(v) != dim, "wrong_dim")
-        .when(F.exists(v, lambda x: x.isNull()), "null_element")
-        .when(F.exists(v, lambda x: F.isnan(x) | (F.abs(x) == endless)), "non_finite")
+        f"CASE WHEN `{id}` IS NULL THEN 'null_id' "
+        f"WHEN `{vec}` IS NULL THEN 'null_vector' "
+        f"WHEN size(`{vec}`) != {dim} THEN 'wrong_dim' "
+        f"WHEN array_contains(`{vec}`, float('NaN')) IS NULL THEN 'null_element' "
+        f"WHEN array_max(`{vec}`) >= float('infinity') THEN 'non_finite' "
+        f"WHEN array_min(`{vec}`) = float('-infinity') THEN 'non_finite' END"
     )
 
 
+def reject_reason(dim: int, id: str = "id", vec: str = "vec") -> Column:
+    """Name of the first broken rule, NULL for a good ``array<float>`` row."""
+    return F.expr(_reason(dim, id, vec))
+
+
 def validate_vectors(
     df: DataFrame, dim: int, id: str = "id", vec: str = "vec"
 ) -> tuple[DataFrame, DataFrame]:
