@@ -405,11 +405,20 @@ def l2_normalize(spark, sf_dir):
         F.col("vec_id").alias("id"),
         F.transform("embedding", lambda x: (x * F.col("label")).cast("float")).alias("vec"),
     )
-    good, rejects = expr.l2_normalize(scaled)
+    good, rejects = knn.l2_normalize(scaled)
     zero = rejects.select("id", F.lit(-1).alias("pos"), F.lit(None).cast("double").alias("x"))
     return _elements(good, "id").unionByName(zero)
 
 
+@_query(_elements_sql(
+    """(SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(CAST(x AS DOUBLE) /
+  sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS FLOAT)) AS vec
+  FROM embeddings)""", "id"))
+def unit_expression(spark, sf_dir):
+    df = _read(spark, sf_dir, "embeddings")
+    return _elements(df.select(F.col("vec_id").alias("id"), expr.unit("embedding").alias("vec")), "id")
+
+
 @_query(_elements_sql(
     """(SELECT vec_id AS id, list_transform(range(1, 65), lambda i:
   CAST(embedding[i] - embedding[65 - i] AS FLOAT)) AS vec FROM embeddings)""", "id"))
@@ -698,6 +707,21 @@ def ivf_all_lists(spark, sf_dir):
     return _rounded(ivf.ivf_search(index, queries, 10, nprobe=index.nlist))
 
 
+@_query(f"""WITH {STRETCHED}, {_means_sql("means", "stretched", "label")},
+coarse AS (SELECT CAST(cluster AS BIGINT) AS id, vec FROM means),
+{_knn_sql("listed", "stretched", "coarse", 1, "inner_product")},
+{_knn_sql("probes", "stretched", "coarse", 2, "inner_product")},
+{_ranked_sql("found", f'''SELECT q.id AS qid, x.id AS id,
+  {_cost_sql("inner_product", "q.vec", "x.vec")} AS distance
+  FROM stretched q JOIN probes p ON q.id = p.qid JOIN listed l ON l.id = p.id
+  JOIN stretched x ON x.id = l.qid''', 10, "inner_product")}
+SELECT {RESULT} FROM found""")
+def ivf_inner_product(spark, sf_dir):
+    index = _label_lists(spark, sf_dir, "inner_product")
+    queries = knn.as_queries(_stretched(spark, sf_dir).df, "id")
+    return _rounded(ivf.ivf_search(index, queries, 10, nprobe=2))
+
+
 @_query(f"""WITH {LABEL_LISTS}, {_ivf_sql('found', 10, 2)},
 {_knn_sql("truth", "stretched", "stretched", 10)}
 SELECT t.qid, avg(CASE WHEN f.id IS NULL THEN 0 ELSE 1 END) AS recall
@@ -730,7 +754,14 @@ def half_round_trip(spark, sf_dir):
     return back.select("id", F.octet_length("half").alias("bytes"), close.alias("close"))
 
 
-@_query()
+# float16 has 11 significant bits and no exponent below -14; ties round to even
+HALF_LISTS = f"""{LABEL_LISTS},
+half_lists AS (SELECT id, list_id, list_transform(vec, lambda x: CASE WHEN x = 0 THEN 0 ELSE
+  round_even(CAST(x AS DOUBLE) / pow(2, greatest(floor(log2(abs(CAST(x AS DOUBLE)))), -14) - 10), 0)
+  * pow(2, greatest(floor(log2(abs(CAST(x AS DOUBLE)))), -14) - 10) END) AS vec FROM lists)"""
+
+
+@_query(f"WITH {HALF_LISTS}, {_ivf_sql('found', 10, 3, 'half_lists')} SELECT {RESULT} FROM found")
 def ivf_half_search(spark, sf_dir):
     index = quant.ivf_half(_label_lists(spark, sf_dir))
     queries = knn.as_queries(_stretched(spark, sf_dir).df, "id")

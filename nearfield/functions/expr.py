@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -32,20 +32,16 @@ def l2_norm(v) -> Column:
 def unit(v) -> Column:
     """v / |v|, NULL for a zero vector."""
     v = _col(v)
-    norm = F.nullif(l2_norm(v), F.lit(0.0))
-    return F.when(
-        norm.isNotNull(), F.transform(v, lambda x: (x.cast("double") / norm).cast("float"))
-    )
 
+    def scale(total):
+        shorter = F.transform(v, lambda x: (x.cast("double") / F.sqrt(total)).cast("float"))
+        return F.when(total > 0, shorter)
 
-def vector_subtract(a, b) -> Column:
-    return F.zip_with(_col(a), _col(b), lambda x, y: (x - y).cast("float"))
+    return F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"), scale)
 
 
-def l2_normalize(df: DataFrame, vec: str = "vec") -> tuple[DataFrame, DataFrame]:
-    """Unit-length rows, and the zero vectors that have no direction."""
-    rejects = df.filter(l2_norm(vec) == 0).withColumn("reason", F.lit("zero_norm"))
-    return df.filter(l2_norm(vec) > 0).withColumn(vec, unit(vec)), rejects
+def vector_subtract(a, b) -> Column:
+    return F.zip_with(_col(a), _col(b), lambda x, y: (x - y).cast("float"))
 
 
 def register_sql_functions(spark: SparkSession) -> None:

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearfield.functions.kernels import Flat
+from nearfield.functions.kernels import Flat, TopK, matrix
 from nearfield.operators.kmeans import KMeansModel, kmeans_train, with_cluster
 from nearfield.operators.knn import knn_join
 from nearfield.plans import scan, sizing, tiles
@@ -117,10 +118,30 @@ def to_lists(index: IvfIndex, df: DataFrame) -> DataFrame:
 
 
 def ivf_probes(index: IvfIndex, queries: DataFrame, nprobe: int) -> DataFrame:
-    """``(qid, list_id)`` of the nprobe nearest lists of each query."""
+    """``(qid, vec, list_id)`` for the nprobe nearest lists of each query.
+
+    Map-only while the centroids can be broadcast.
+    """
     check_positive("nprobe", nprobe)
-    found = knn_join(queries, index.require().model.table, nprobe, index.metric)
-    return found.select("qid", F.col("id").cast("int").alias("list_id"))
+    table, dim, metric = index.require().model.table, index.dim, index.metric
+    queries = queries.select("qid", "vec")
+    local = sizing.small_matrix(table.df, "id", dim, table.rows)
+    if local is None:
+        found = knn_join(queries, table, nprobe, metric)
+        found = found.select("qid", F.col("id").cast("int").alias("list_id"))
+        return queries.join(found, "qid")
+    shared = table.df.sparkSession.sparkContext.broadcast(local)
+    k = min(nprobe, len(local[0]))
+
+    @F.arrow_udf("array<int>")
+    def nearest_lists(vec: pa.Array) -> pa.Array:
+        x = matrix(vec, dim)
+        best = TopK(np.arange(len(x)), x, k, metric)
+        best.push(*shared.value)
+        ends = np.arange(0, (len(x) + 1) * k, k, dtype=np.int32)
+        return pa.ListArray.from_arrays(ends, best.ids.ravel().astype(np.int32))
+
+    return queries.select("qid", "vec", F.explode(nearest_lists("vec")).alias("list_id"))
 
 
 def ivf_search(index: IvfIndex, queries: DataFrame, k: int, nprobe: int = 1) -> DataFrame:
@@ -137,9 +158,7 @@ def ivf_search(index: IvfIndex, queries: DataFrame, k: int, nprobe: int = 1) ->
     small = sizing.small_matrix(queries, "qid", dim)
     if small is not None and sizing.fits(spark, len(small[0]) * nprobe, 2):
         return _scan_lists(index, small, probes, k)
-    visits = queries.join(probes, "qid").select(
-        "qid", "vec", F.col("list_id").alias("cell")
-    )
+    visits = probes.withColumnRenamed("list_id", "cell")
     cells = rows.select(F.col("list_id").alias("cell"), "id", *index.decode.columns)
     return tiles.tile_topk(visits, cells, k, index.metric, index.decode, dim, index.nlist)
 
@@ -148,7 +167,7 @@ def _scan_lists(index: IvfIndex, queries, probes: DataFrame, k: int) -> DataFram
     qids, mat = queries
     order = np.argsort(qids, kind="stable")
     qids, mat = qids[order], mat[order]
-    pairs = probes.toArrow()
+    pairs = probes.select("qid", "list_id").toArrow()
     lists = pairs.column("list_id").to_numpy()
     position = np.searchsorted(qids, pairs.column("qid").to_numpy())
     by_list = np.lexsort((position, lists))

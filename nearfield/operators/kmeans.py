@@ -89,12 +89,11 @@ def kmeans_train(
             raise ValueError("cannot train on an empty table")
         if rows < k:
             raise ValueError(f"cannot train {k} clusters on {rows} rows")
-        start = init
-        if start is None:
-            start = df.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(k)
         if not sizing.fits(spark, k, 2 * dim):
-            return _train_distributed(df, start, k, dim, rows, iterations)
-        centroids = _start_matrix(start, k, dim)
+            return _train_distributed(df, init, k, dim, rows, iterations, seed)
+        if init is None:
+            init = df.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(k)
+        centroids = _start_matrix(init, k, dim)
         inertia: list[float] = []
         for _ in range(iterations):
             sums, counts, cost = _sums(df, centroids, dim)
@@ -205,16 +204,16 @@ def next_centroids(old: np.ndarray, sums: np.ndarray, counts: np.ndarray) -> np.
 
 
 def _train_distributed(
-    df: DataFrame, start: DataFrame, k: int, dim: int, rows: int, iterations: int
+    df: DataFrame, init: DataFrame | None, k: int, dim: int, rows: int, iterations: int, seed: int
 ) -> KMeansModel:
     """The same rounds with centroids as a table, for models too large to broadcast.
 
     Centroids are kept as float32 and an empty cluster keeps its centroid.
     """
-    if "cluster" in start.columns:
-        start = start.withColumn("id", F.col("cluster").cast("long"))
+    if init is not None:
+        start = init.withColumn("id", F.col("cluster").cast("long"))
     else:
-        start, _ = number_rows(start.withColumnRenamed("id", "row"), "row")
+        start = _many_starts(df, k, rows, seed)
     start = sizing.cut_lineage(start.select("id", F.col("vec").cast("array<float>")))
     centroids = VectorTable(start, dim, "l2", k)
     inertia: list[float] = []
@@ -237,6 +236,21 @@ def _train_distributed(
     return KMeansModel(k, dim, centroids, tuple(inertia))
 
 
+def _many_starts(df: DataFrame, k: int, rows: int, seed: int) -> DataFrame:
+    """The k rows smallest by a seeded hash, numbered, without collecting them."""
+    place = F.xxhash64(F.col("id"), F.lit(seed))
+    share = min(1.0, 2 * k / rows)
+    while True:
+        # hashes spread evenly over 64 bits, so this keeps about 2k rows
+        few = df.filter(place / 2.0**64 + 0.5 < share) if share < 1 else df
+        numbered, found = number_rows(
+            few.select(F.col("id").alias("row"), "vec", place.alias("place")), "place"
+        )
+        if found >= k:
+            return numbered.filter(F.col("id") < k)
+        share = min(1.0, 4 * share)
+
+
 def assign_rows(df: DataFrame, centroids: VectorTable, rows: int | None = None) -> DataFrame:
     """``(id, cluster, distance)``: nearest centroid and squared distance of each row."""
     queries = df.select(F.col("id").alias("qid"), "vec")
@@ -275,8 +289,9 @@ def with_cluster(
         best = TopK(np.arange(len(x)), x, 1, metric)
         best.push(ids, model)
         cost = best.cost[:, 0]
+        distance = cost if metric == "l2" else 0.0 - cost
         return pa.StructArray.from_arrays(
-            [pa.array(best.ids[:, 0].astype(np.int32)), pa.array(cost if metric == "l2" else 0.0 - cost)],
+            [pa.array(best.ids[:, 0].astype(np.int32)), pa.array(distance)],
             names=["cluster", "distance"],
         )
 

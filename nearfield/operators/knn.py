@@ -6,11 +6,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nearfield.functions import expr
-from nearfield.functions.kernels import Flat, int64, matrix, sq_norms
+from nearfield.functions.kernels import Flat, matrix, sq_norms, vectors
 from nearfield.plans import scan, sizing, tiles
 from nearfield.sources.table import VectorTable, check_metric, check_positive
 
@@ -111,7 +112,10 @@ def _routed(queries: DataFrame, table: VectorTable, k: int, metric: str, rows: i
         .mapInArrow(route, "qid long, vec array<float>, cells array<int>")
         .select("qid", "vec", F.explode("cells").alias("cell"))
     )
-    return tiles.tile_topk(routed, placed, k, metric, Flat(dim), dim, len(counts))
+    sizes = spark.createDataFrame(
+        [(i, int(n)) for i, n in enumerate(counts) if n], "cell int, n long"
+    )
+    return tiles.tile_topk(routed, placed, k, metric, Flat(dim), dim, len(counts), sizes)
 
 
 def _pivot_distances(x: np.ndarray, pivots: np.ndarray):
@@ -175,10 +179,32 @@ def without_self(found: DataFrame, k: int) -> DataFrame:
     )
 
 
-def cosine_knn(queries: DataFrame, table: VectorTable, k: int) -> DataFrame:
+def cosine_knn(
+    queries: DataFrame, table: VectorTable, k: int, query_rows: int | None = None
+) -> DataFrame:
     """Top-k by cosine similarity. Zero vectors on either side have no direction
     and take no part; see ``l2_normalize`` to report them."""
-    unit_queries, _ = expr.l2_normalize(queries)
-    unit_rows, _ = expr.l2_normalize(table.df)
-    unit_table = VectorTable(unit_rows, table.dim, "inner_product")
-    return knn_join(unit_queries, unit_table, k)
+    unit_queries, _ = l2_normalize(queries)
+    unit_rows, _ = l2_normalize(table.df)
+    unit_table = VectorTable(unit_rows, table.dim, "inner_product", table.count())
+    return knn_join(unit_queries, unit_table, k, query_rows=query_rows)
+
+
+def l2_normalize(df: DataFrame, vec: str = "vec") -> tuple[DataFrame, DataFrame]:
+    """Unit-length rows, and the zero vectors that have no direction."""
+
+    @F.arrow_udf("array<float>")
+    def scale(v: pa.Array) -> pa.Array:
+        x = matrix(v, len(v[0])) if len(v) else np.empty((0, 1), np.float32)
+        x = x.astype(np.float64)
+        length = np.sqrt(sq_norms(x))
+        unit = vectors(x / np.where(length > 0, length, 1)[:, None])
+        return pc.if_else(pa.array(length > 0), unit, pa.scalar(None, unit.type))
+
+    # not deterministic: the filter must not run the function a second time
+    scaled = df.withColumn("_unit", scale.asNondeterministic()(vec))
+    good = scaled.filter(F.col("_unit").isNotNull()).withColumn(vec, F.col("_unit"))
+    rejects = df.filter(expr.l2_norm(vec) == 0).withColumn("reason", F.lit("zero_norm"))
+    return good.drop("_unit"), rejects
+
+

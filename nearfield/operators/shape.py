@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nearfield.operators.knn import cosine_knn
+from nearfield.plans import sizing
 from nearfield.plans.scan import rank_merge
 from nearfield.sources.table import VectorTable, check_positive
 
+# 4-byte words of a result row in memory, id aside
+RESULT_WORDS = 8
+
 
 def pad_results(found: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """Exactly k rows per query; a missing rank has id -1 and no distance."""
@@ -40,6 +44,13 @@ def within(found: DataFrame, threshold: float, column: str = "distance") -> Data
 
 
 def semantic_search(queries: DataFrame, table: VectorTable, k: int) -> DataFrame:
-    """Cosine top-k with the payload columns of the rows found."""
-    found = cosine_knn(queries, table, k).withColumnRenamed("distance", "score")
+    """Cosine top-k with the payload columns of the rows found.
+
+    The k rows per query are broadcast to the table while they are few, so the
+    payload is picked up where it lies.
+    """
+    spark, rows = table.df.sparkSession, queries.count()
+    found = cosine_knn(queries, table, k, rows).withColumnRenamed("distance", "score")
+    if sizing.fits(spark, rows * k, RESULT_WORDS):
+        found = F.broadcast(found)
     return found.join(table.df.drop("vec"), "id")

@@ -25,15 +25,20 @@ def tile_topk(
     decode,
     dim: int,
     cells: int,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Top-k of ``probes(qid, vec, cell)`` among ``rows(cell, id, ...)``.
 
     ``cells`` bounds the number of distinct cells and with it the size of the
-    table of splits that both sides look up.
+    table of splits that both sides look up. ``sizes(cell, n)`` are the rows
+    per cell where they are known already.
     """
     spark = rows.sparkSession
     limit = sizing.tile_rows(spark, dim)
-    splits = _parts(probes, limit, "q_parts").join(_parts(rows, limit, "x_parts"), "cell")
+    if sizes is None:
+        sizes = rows.groupBy("cell").agg(F.count("*").alias("n"))
+    visits = probes.groupBy("cell").agg(F.count("*").alias("n"))
+    splits = _parts(visits, limit, "q_parts").join(_parts(sizes, limit, "x_parts"), "cell")
     if cells * 16 <= sizing.broadcast_bytes(spark):
         splits = F.broadcast(splits)
     left = (
@@ -61,8 +66,8 @@ def tile_topk(
     return scan.rank_merge(partial, k, metric)
 
 
-def _parts(df: DataFrame, limit: int, name: str) -> DataFrame:
-    return df.groupBy("cell").agg(F.ceil(F.count("*") / limit).cast("int").alias(name))
+def _parts(sizes: DataFrame, limit: int, name: str) -> DataFrame:
+    return sizes.select("cell", F.ceil(F.col("n") / limit).cast("int").alias(name))
 
 
 def _part(key: str, parts: str) -> Column:

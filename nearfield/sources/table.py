@@ -135,9 +135,11 @@ def number_rows(
 
     A range-partitioned sort is checkpointed with each row's partition and
     place in it; adding the sizes of the partitions before gives the id. Only
-    one count per partition reaches the driver.
+    one count per partition reaches the driver. Rows with equal order are
+    sorted by a hash of the row, so one frequent value fills many partitions.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
+    order.append(F.xxhash64(*df.columns))
     placed = cut_lineage(
         df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id())
     )
