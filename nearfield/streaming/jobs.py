@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from nearfield.operators.kmeans import KMeansModel, with_cluster
@@ -13,22 +13,27 @@ from nearfield.sources.table import VectorTable, validate_vectors
 
 
 def stream_append(stream: DataFrame, path: str, dim: int, checkpoint: str) -> DataStreamWriter:
-    """Append valid rows ``(id, vec)`` under ``path/vectors``, bad ones under ``path/rejects``.
-
-    Each micro-batch owns a folder named after its number, so a batch that is
-    run again replaces its rows instead of adding them twice.
-    """
+    """Append every micro-batch of rows ``(id, vec)`` to the table under the path."""
 
     def write(batch: DataFrame, number: int) -> None:
-        good, bad = validate_vectors(batch, dim)
-        good.write.mode("overwrite").parquet(f"{path}/vectors/batch={number}")
-        bad.write.mode("overwrite").parquet(f"{path}/rejects/batch={number}")
+        append_batch(batch, path, dim, str(number))
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
-def appended(spark, path: str, dim: int, metric: str = "l2") -> VectorTable:
-    """The rows a stream has appended so far."""
+def append_batch(batch: DataFrame, path: str, dim: int, name: str) -> None:
+    """Write valid rows under ``path/vectors`` and bad ones under ``path/rejects``.
+
+    A batch owns the folders that carry its name: writers with different names
+    do not meet, and a batch that runs again replaces its rows.
+    """
+    good, bad = validate_vectors(batch, dim)
+    good.write.mode("overwrite").parquet(f"{path}/vectors/batch={name}")
+    bad.write.mode("overwrite").parquet(f"{path}/rejects/batch={name}")
+
+
+def appended(spark: SparkSession, path: str, dim: int, metric: str = "l2") -> VectorTable:
+    """The rows appended so far."""
     df = spark.read.parquet(f"{path}/vectors").select("id", "vec")
     return VectorTable(df, dim, metric)
 
