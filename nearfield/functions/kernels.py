@@ -72,8 +72,10 @@ class TopK:
     results equal a full float64 scan with ties going to the smaller id.
     """
 
-    def __init__(self, qids: np.ndarray, queries: np.ndarray, k: int, metric: str):
+    def __init__(self, qids: np.ndarray, queries: np.ndarray, k: int, metric: str, bound=np.inf):
+        """``bound``: cost that the k-th best row is known not to exceed, per query."""
         self.qids, self.queries, self.k, self.metric = qids, queries, k, metric
+        self.bound = np.broadcast_to(np.asarray(bound, float), len(qids))
         self.cost = np.full((len(qids), k), np.inf)
         self.ids = np.full((len(qids), k), NO_ID, np.int64)
         self.seen = np.zeros(len(qids), np.int64)
@@ -96,6 +98,9 @@ class TopK:
     def push(self, ids: np.ndarray, rows: np.ndarray, only: np.ndarray | None = None) -> None:
         """Offer a block of rows to all queries, or to the query positions ``only``."""
         picked = np.arange(len(self.qids)) if only is None else only
+        kept = without_copies(ids, rows, self.k)
+        if kept is not None:
+            ids, rows = ids[kept], rows[kept]
         start = 0
         while start < len(ids) and len(picked):
             # tiles grow with what was seen: each step offers few new candidates
@@ -128,7 +133,7 @@ class TopK:
             approx = self._left(dtype)[sel] @ right[dtype]
             slack = 2 * (x.shape[1] + 8) * np.finfo(dtype).eps * reach**2
             shift = self.length[sel] ** 2 if self.metric == "l2" else 0.0
-            limit = self.cost[sel, -1] - shift + slack
+            limit = np.minimum(self.cost[sel, -1], self.bound[sel]) - shift + slack
             if not np.isfinite(limit).all() and len(x) > self.k:
                 kth = np.partition(approx, self.k - 1, axis=1)[:, self.k - 1].astype(np.float64)
                 limit = np.minimum(limit, kth + 2 * slack)
@@ -167,6 +172,33 @@ class TopK:
         )
 
 
+def without_copies(ids: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray | None:
+    """Positions to score when some vector has more than k copies, else None.
+
+    Copies have equal distances, so none but the k with the smallest ids can be
+    among the k best of any query. Rows are grouped by a hash of their bits and
+    count as copies only if they equal the first row of their group.
+    """
+    if len(rows) <= k:
+        return None
+    words = np.ascontiguousarray(rows, np.float32).view(np.uint32).astype(np.uint64)
+    odd = 2 * np.arange(1, words.shape[1] + 1, dtype=np.uint64) + 1
+    key = (words * (odd * odd * np.uint64(0x9E3779B97F4A7C15))).sum(axis=1)
+    _, first, group, size = np.unique(
+        key, return_index=True, return_inverse=True, return_counts=True
+    )
+    crowded = np.flatnonzero(size[group] > k)
+    if not len(crowded):
+        return None
+    copy = (rows[crowded] == rows[first[group[crowded]]]).all(axis=1)
+    crowded = crowded[copy]
+    crowded = crowded[np.lexsort((ids[crowded], group[crowded]))]
+    starts = np.searchsorted(group[crowded], group[crowded])
+    keep = np.ones(len(rows), bool)
+    keep[crowded[np.arange(len(crowded)) - starts >= k]] = False
+    return np.flatnonzero(keep)
+
+
 class Flat:
     """Reads plain ``vec`` arrays out of a batch."""
 

@@ -7,6 +7,7 @@ holding a third of all rows is spread over many tasks.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,13 +28,16 @@ def tile_topk(
     cells: int,
     sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """Top-k of ``probes(qid, vec, cell)`` among ``rows(cell, id, ...)``.
+    """Top-k of ``probes(qid, vec, cell[, bound])`` among ``rows(cell, id, ...)``.
+
+    ``bound`` is a cost that the k-th best row of a query does not exceed.
 
     ``cells`` bounds the number of distinct cells and with it the size of the
     table of splits that both sides look up. ``sizes(cell, n)`` are the rows
     per cell where they are known already.
     """
     spark = rows.sparkSession
+    bounds = [c for c in probes.columns if c == "bound"]
     limit = sizing.tile_rows(spark, dim)
     if sizes is None:
         sizes = rows.groupBy("cell").agg(F.count("*").alias("n"))
@@ -45,7 +49,7 @@ def tile_topk(
         probes.join(splits, "cell")
         .withColumn("q_part", _part("qid", "q_parts"))
         .withColumn("x_part", F.explode(F.sequence(F.lit(0), F.col("x_parts") - 1)))
-        .select(*TILE, "qid", "vec")
+        .select(*TILE, "qid", "vec", *bounds)
     )
     right = (
         rows.join(splits, "cell")
@@ -55,7 +59,9 @@ def tile_topk(
     )
 
     def search(queries: pa.Table, corpus: pa.Table) -> pa.Table:
-        best = TopK(int64(queries.column("qid")), matrix(queries.column("vec"), dim), k, metric)
+        bound = queries.column("bound").to_numpy() if bounds else np.inf
+        q = matrix(queries.column("vec"), dim)
+        best = TopK(int64(queries.column("qid")), q, k, metric, bound)
         if corpus.num_rows:
             best.push(int64(corpus.column("id")), decode(corpus))
         return pa.Table.from_batches([best.batch()])
