@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,7 +107,9 @@ def _lines(spark, sf_dir) -> table.VectorTable:
             F.floor(F.col("l_quantity") / 10).cast("int").alias("band"),
         )
     )
-    return table.vector_table(df, dim=4, payload=("band",))
+    # read several times by every query on it, so aggregated once
+    points = table.vector_table(sizing.cut_lineage(df), dim=4, payload=("band",))
+    return replace(points, rows=points.df.count())
 
 
 LINES = """lines AS (
@@ -474,7 +477,7 @@ queries AS (SELECT CAST(cluster AS BIGINT) AS id, CAST(vec AS FLOAT[]) AS vec FR
 SELECT {RESULT} FROM found""")
 def batch_search_lines(spark, sf_dir):
     lines = _lines(spark, sf_dir)
-    queries = knn.as_queries(_means(lines, "band"), "cluster")
+    queries = sizing.cut_lineage(knn.as_queries(_means(lines, "band"), "cluster"))
     return _rounded(knn.knn_join(queries, lines, 20))
 
 

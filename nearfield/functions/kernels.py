@@ -13,6 +13,8 @@ FIRST_ROWS = 256
 TILE_ROWS = 2048
 TILE_QUERIES = 512
 PAIR_BLOCK = 1 << 21
+# odd 64-bit number near 2**64 over the golden ratio
+HASH_FACTOR = 0x9E3779B97F4A7C15
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -181,15 +183,17 @@ def without_copies(ids: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray | No
     """
     if len(rows) <= k:
         return None
-    words = np.ascontiguousarray(rows, np.float32).view(np.uint32).astype(np.uint64)
-    odd = 2 * np.arange(1, words.shape[1] + 1, dtype=np.uint64) + 1
-    key = (words * (odd * odd * np.uint64(0x9E3779B97F4A7C15))).sum(axis=1)
-    _, first, group, size = np.unique(
-        key, return_index=True, return_inverse=True, return_counts=True
-    )
-    crowded = np.flatnonzero(size[group] > k)
-    if not len(crowded):
-        return None
+    # a few elements tell most blocks apart; only crowded ones need the whole row
+    for step in sorted({max(1, rows.shape[1] // 16), 1}, reverse=True):
+        words = np.ascontiguousarray(rows[:, ::step], np.float32).view(np.uint32)
+        odd = 2 * np.arange(1, words.shape[1] + 1, dtype=np.uint64) + 1
+        key = (words.astype(np.uint64) * (odd * odd * np.uint64(HASH_FACTOR))).sum(axis=1)
+        _, first, group, size = np.unique(
+            key, return_index=True, return_inverse=True, return_counts=True
+        )
+        crowded = np.flatnonzero(size[group] > k)
+        if not len(crowded):
+            return None
     copy = (rows[crowded] == rows[first[group[crowded]]]).all(axis=1)
     crowded = crowded[copy]
     crowded = crowded[np.lexsort((ids[crowded], group[crowded]))]
