@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
-from nearfield.operators.kmeans import KMeansModel, with_cluster
+from nearfield.operators.kmeans import KMeansModel, assign, with_cluster
 from nearfield.operators.knn import knn_join
+from nearfield.plans import sizing
 from nearfield.sources.table import VectorTable, validate_vectors
 
 
@@ -60,4 +61,19 @@ def stream_search(
 
 def stream_assign(stream: DataFrame, model: KMeansModel) -> DataFrame:
     """Arriving rows with their cluster and distance; stateless, no shuffle."""
-    return with_cluster(stream, model.require().table)
+    table = model.require().table
+    if not sizing.fits(stream.sparkSession, model.k, model.dim):
+        raise ValueError("centroids exceed the broadcast limit: use stream_assign_batches")
+    return with_cluster(stream, table)
+
+
+def stream_assign_batches(
+    stream: DataFrame, model: KMeansModel, path: str, checkpoint: str
+) -> DataStreamWriter:
+    """Write ``(id, cluster, distance)`` of arriving rows, for models of any size."""
+    model.require()
+
+    def write(batch: DataFrame, number: int) -> None:
+        assign(model, batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

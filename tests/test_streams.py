@@ -1,8 +1,10 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import data
 from nearfield.operators import kmeans, knn
+from nearfield.plans import sizing
 from nearfield.streaming import jobs
 
 
@@ -66,6 +68,24 @@ def test_assign_equals_batch(spark, tmp_path):
     assert got == {r.id: r.cluster for r in kmeans.assign(model, table.df).collect()}
 
 
+def test_assign_with_a_model_beyond_the_broadcast_limit(spark, tmp_path):
+    x = data.blobs(100, 6, 5)
+    source(spark, tmp_path / "in", x)
+    table = data.points(spark, x)
+    model = kmeans.kmeans_train(table, 5, iterations=4)
+    want = {r.id: r.cluster for r in kmeans.assign(model, table.df).collect()}
+    out = str(tmp_path / "out")
+    rows = stream(spark, tmp_path / "in")
+    spark.conf.set(sizing.BROADCAST_BYTES, "100")
+    try:
+        with pytest.raises(ValueError, match="broadcast limit"):
+            jobs.stream_assign(rows, model)
+        run(jobs.stream_assign_batches(rows, model, out, f"{out}-log"))
+    finally:
+        spark.conf.unset(sizing.BROADCAST_BYTES)
+    assert {r.id: r.cluster for r in spark.read.parquet(out).collect()} == want
+
+
 def test_concurrent_appends_add_up(spark, tmp_path):
     from threading import Thread
 
