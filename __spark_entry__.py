@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -977,6 +978,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return semantic_search(spark, "/root/testdata/sf0.001")
 
 
+def _optional(name: str):
+    """A module of the text operators, or None where these are not installed."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as e:
+        if e.name not in (name, "nearfield.llm", "corpus_pipeline"):
+            raise
+        return None
+
+
+for _name in ("nearfield.llm.registry", "corpus_pipeline"):
+    if (_module := _optional(_name)) is not None:
+        QUERIES.update(_module.QUERIES)
+        ORACLES.update(_module.ORACLES)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
