@@ -1,6 +1,12 @@
 """All queries of this subpackage; importing it registers them."""
 
-from nearfield.llm import quality_rules, secret_scan, token_count  # noqa: F401
+from nearfield.llm import (  # noqa: F401
+    packing,
+    quality_rules,
+    secret_scan,
+    token_count,
+    token_files,
+)
 from nearfield.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
