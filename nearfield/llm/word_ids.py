@@ -7,7 +7,9 @@ and every distinct piece given to the library once. The memory is bounded: past
 
 from __future__ import annotations
 
+import os
 import re
+from collections.abc import Callable
 from itertools import chain, islice
 
 import numpy as np
@@ -39,15 +41,11 @@ class _Memory(dict):
         return at
 
 
-class WordIds:
-    def __init__(self, path: str, most: int = MOST):
-        import os
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+class PieceMemory:
+    """Ids of texts, with ``encode(pieces) -> (ids, sizes)`` called once for each new piece."""
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.most = most
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = MOST):
+        self.encode, self.most = encode, most
         self._clear()
 
     def _clear(self) -> None:
@@ -63,9 +61,7 @@ class WordIds:
         new = list(islice(self.memory, known, None))
         if not new:
             return
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter(chain.from_iterable(got), np.uint32, int(size.sum()))
+        flat, size = self.encode(new)
         while used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
         self.ids[used : used + len(flat)] = flat
@@ -110,6 +106,22 @@ class WordIds:
         return self.ids[flat], total[np.cumsum(sizes)]
 
 
+class WordIds(PieceMemory):
+    """Ids as a file of the tokenizers library gives them."""
+
+    def __init__(self, path: str, most: int = MOST):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        super().__init__(self._library, most)
+
+    def _library(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(chain.from_iterable(got), np.uint32, int(size.sum())), size
+
+
 _OPEN: dict[str, WordIds] = {}
 
 
