@@ -2,6 +2,7 @@
 
 from nearfield.llm import (  # noqa: F401
     duck_bpe,
+    fingerprints,
     language_id,
     packing,
     quality_rules,
