@@ -32,7 +32,7 @@ LENGTH = 2048
 PIECE_BYTES = 4 << 20
 #: Costs in tokens of padding.
 PER_SEQUENCE, IN_DOCUMENT, IN_SENTENCE = 32, 24, 256
-LEAST_POWER = 64
+LEAST_POWER = 512
 
 
 def padding(size: int, length: int = LENGTH) -> int:
@@ -82,19 +82,16 @@ def choose_cuts(ends: np.ndarray, penalty: np.ndarray, length: int = LENGTH) ->
 
 def candidates(ids: np.ndarray, doc_ends: np.ndarray, closes: np.ndarray, length: int = LENGTH):
     """Places where a sequence may end, with the penalty of each."""
-    sentence = np.flatnonzero(closes[ids]) + 1
-    last = np.concatenate([[False], np.diff(sentence) == 1])[: len(sentence)]
-    sentence = sentence[~np.concatenate([last[1:], [False]])] if len(sentence) else sentence
-    places = np.union1d(sentence, doc_ends)
-    gaps = np.diff(np.concatenate([[0], places]))
-    wide = np.flatnonzero(gaps > length)
-    hard = [np.arange(places[k] - gaps[k] + length, places[k], length) for k in wide.tolist()]
-    hard = np.concatenate(hard) if hard else np.empty(0, np.int64)
-    all_ = np.union1d(places, hard)
-    penalty = np.full(len(all_), IN_DOCUMENT, np.int64)
-    penalty[np.isin(all_, hard, assume_unique=True)] = IN_SENTENCE
-    penalty[np.searchsorted(all_, doc_ends)] = 0
-    return all_, penalty
+    closing = closes[ids]
+    closing[:-1] &= ~closing[1:]  # a run of closing ids ends with its last
+    penalty_at = np.where(closing, IN_DOCUMENT, -1)
+    penalty_at[doc_ends - 1] = 0
+    places = np.flatnonzero(penalty_at >= 0) + 1
+    gaps = np.diff(places, prepend=0)
+    for k in np.flatnonzero(gaps > length).tolist():
+        penalty_at[np.arange(places[k] - gaps[k] + length, places[k], length) - 1] = IN_SENTENCE
+    places = np.flatnonzero(penalty_at >= 0) + 1
+    return places, penalty_at[places - 1]
 
 
 def _tail(size: int, length: int) -> list[int]:
@@ -135,7 +132,10 @@ class Packer:
     def _emit(self, cuts: np.ndarray):
         stop = int(cuts[-1])
         doc_starts = np.concatenate([[0], self.ends[:-1]])
-        borders = np.union1d(cuts, self.ends[self.ends <= stop])
+        ends = np.zeros(stop, bool)
+        ends[cuts - 1] = True
+        ends[self.ends[self.ends <= stop] - 1] = True
+        borders = np.flatnonzero(ends) + 1
         starts = np.concatenate([[0], borders[:-1]])
         doc = np.searchsorted(self.ends, starts, "right")
         window = np.searchsorted(cuts, starts, "right")
