@@ -5,6 +5,7 @@ from nearfield.llm import (  # noqa: F401
     duck_bpe,
     fingerprints,
     language_id,
+    ngram_join,
     packing,
     quality_rules,
     secret_scan,
