@@ -56,6 +56,17 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def filtered(df: DataFrame, condition: Column) -> DataFrame:
+    """The rows that pass, with the table's columns computed once, before the filter.
+
+    Spark moves a filter below deterministic columns by writing their expressions into it, so that
+    costly ones would run twice and inside lambdas once per element. The partition's number, which
+    Spark doesn't move, holds the filter in place.
+    """
+    (part,) = unused(df, "part")
+    return df.withColumn(part, F.spark_partition_id()).filter(condition & (F.col(part) >= 0)).drop(part)
+
+
 def new_path(spark: SparkSession) -> str:
     """Unused path in the folder that all executors share."""
     return f"{sizing.shared_folder(spark)}/{uuid.uuid4().hex}"

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nearfield.llm.common import documents, pieces, query, stored
+from nearfield.llm.common import documents, pieces, query, stored, unused
 
 WORDS = 4
 #: Links have an overlap of 85 hundredths of the union, that is 17 / 37 of the sum of sizes.
@@ -437,8 +437,8 @@ def remaining(rows: DataFrame, table: DataFrame, comps: DataFrame) -> DataFrame:
     return rows.mapInArrow(_searched, "a long, b long").distinct()
 
 
-def ngram_join(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
-    """Per row: ``doc_id, n_shingles, component_id``."""
+def _named(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Per row: ``doc_id, n, cls, comp``; rows without shingles have no component."""
     table = stored(classes(docs, doc_id, text))
     rows = stored(blocks(table.filter("n > 0")))
     first = stored(verified(stored(likely(rows)), docs, table, doc_id, text))
@@ -446,7 +446,12 @@ def ngram_join(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
     second = verified(pairs, docs, table, doc_id, text)
     comps = components(first.unionByName(second))
     named = table.select("doc_id", "n", "cls").join(comps, "cls", "left")
-    named = stored(named.select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("comp", "cls")).alias("comp")))
+    return stored(named.withColumn("comp", F.when(F.col("n") > 0, F.coalesce("comp", "cls"))))
+
+
+def ngram_join(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
+    """Per row: ``doc_id, n_shingles, component_id``."""
+    named = _named(docs, doc_id, text)
     ids = named.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     return named.join(ids, "comp", "left").select(
         "doc_id",
@@ -455,6 +460,32 @@ def ngram_join(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
     )
 
 
+def one_of_each(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
+    """The documents without near copies of others: of each component one row stays.
+
+    It is a row with the least id, and of several texts under that id one with the least hash. Rows
+    without shingles all stay. Columns are those of ``docs``.
+    """
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    content, row = unused(docs, "content", "row")
+    texts = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    # the join sees the hash of the text as part of the id, so that both lead back to the row
+    key = F.struct(F.col(f"`{doc_id}`").isNull().alias("none"), F.col(f"`{doc_id}`").alias("id"), texts.alias("content"))
+    named = _named(docs.select(key.alias("doc_id"), F.col(f"`{text}`").alias("text")), "doc_id", "text")
+    of = F.col("doc_id.id").alias("of_id"), F.col("doc_id.content").alias("of_content")
+    kept = named.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("doc_id")).select(*of)
+    bare = named.filter("comp IS NULL").select(*of).distinct()
+    kept = kept.withColumn("bare", F.lit(False)).unionByName(bare.withColumn("bare", F.lit(True)))
+    (found,) = unused(docs, "bare")
+    kept = kept.withColumnRenamed("bare", found)
+    rows = docs.withColumn(content, texts).join(
+        kept, F.col(f"`{doc_id}`").eqNullSafe(F.col("of_id")) & (F.col(content) == F.col("of_content"))
+    )
+    same = Window.partitionBy("of_id", "of_content").orderBy(texts)
+    rows = rows.withColumn(row, F.row_number().over(same))
+    return rows.filter(F.col(found) | (F.col(row) == 1)).select(*own)
+
+
 @query()
 def op1_ngram_join(spark, sf_dir):
     return ngram_join(documents(spark, sf_dir))

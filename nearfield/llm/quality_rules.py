@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearfield.llm.common import GAP, documents, query, unused, words
+from nearfield.llm.common import GAP, documents, filtered, query, unused, words
 
 WINDOW = 8
 SYMBOLS = r"[#*$%&|<>]"
@@ -179,7 +179,7 @@ def judged(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES):
 def quality_filter(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
     """The documents that pass, with the columns they came with."""
     df, names = judged(docs, text, rules)
-    return df.filter(F.col(names["kept"])).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return filtered(df, F.col(names["kept"])).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 @query()

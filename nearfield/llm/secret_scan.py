@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearfield.llm.common import bind, documents, query, stored
+from nearfield.llm.common import bind, documents, filtered, query, stored, unused
 
 ASSIGN = (
     r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -148,9 +148,8 @@ def ownership(spans: DataFrame) -> DataFrame:
     )
 
 
-def secret_scan(docs: DataFrame, doc_id="doc_id", text="text", owner="source", max_owners=MAX_OWNERS):
-    """Per row: counts of the fixed kinds, all spans, and how many of them look live or copied."""
-    rows = stored(scanned(docs, doc_id, text, owner))
+def judged(rows: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
+    """Per id and content with spans: ``of, of_content, told``, each span with whether it looks live."""
     spans = rows.filter((F.size("base") > 0) | (F.size("extra") > 0)).select(
         "doc_id", "content", "owner", F.explode(F.concat("base", "extra")).alias("span")
     )
@@ -158,17 +157,26 @@ def secret_scan(docs: DataFrame, doc_id="doc_id", text="text", owner="source", m
     live = ownership(spans).select("value", (F.col("n_owners") <= max_owners).alias("live"))
     # the value's verdict returns to its documents; one value may be in a third of them, and the
     # join has its rows on the one side only, so that Spark can split them
-    told = (
+    return (
         spans.join(live, "value")
         .groupBy(F.col("doc_id").alias("of"), F.col("content").alias("of_content"))
         .agg(F.collect_set(F.struct("span", "live")).alias("told"))
     )
+
+
+def _added(told: Column) -> Column:
+    """The generic spans that look live."""
+    return F.transform(F.filter(told, lambda t: (t["span"]["kind"] == 3) & t["live"]), lambda t: t["span"])
+
+
+def secret_scan(docs: DataFrame, doc_id="doc_id", text="text", owner="source", max_owners=MAX_OWNERS):
+    """Per row: counts of the fixed kinds, all spans, and how many of them look live or copied."""
+    rows = stored(scanned(docs, doc_id, text, owner))
+    told = judged(rows, max_owners)
     # each row has its spans once, whatever others share its id
     same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("content") == F.col("of_content"))
     df = rows.join(told, same, "left").select("doc_id", "base", "told")
-    added = F.transform(
-        F.filter("told", lambda t: (t["span"]["kind"] == 3) & t["live"]), lambda t: t["span"]
-    )
+    added = _added(F.col("told"))
     every = F.sort_array(F.concat("base", F.coalesce(added, F.filter("base", lambda x: F.lit(False)))))
     kind = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
     fixed = lambda live: F.coalesce(
@@ -186,6 +194,54 @@ def secret_scan(docs: DataFrame, doc_id="doc_id", text="text", owner="source", m
     )
 
 
+def redact(docs: DataFrame, doc_id="doc_id", text="text", owner="source", n_chars="n_chars", mask="[secret]"):
+    """The documents with every span replaced; rows without spans are as they were.
+
+    Overlapping spans become one mask. A length that was known is counted anew. Columns are those of
+    ``docs``; null texts stay null.
+    """
+    content, told, spans = unused(docs, "content", "told", "spans")
+    rows = scanned(docs, doc_id, text, owner)
+    rows = filtered(rows, (F.size("base") > 0) | (F.size("extra") > 0))
+    some = judged(stored(rows)).select(
+        F.col("of").alias("_of"),
+        F.col("of_content").alias("_of_content"),
+        F.sort_array(
+            F.concat(
+                _added(F.col("told")),
+                F.transform(F.filter("told", lambda t: t["span"]["kind"] < 3), lambda t: t["span"]),
+            )
+        ).alias(spans),
+    )
+    whole = F.col(f"`{text}`")
+    key = F.xxhash64(F.coalesce(whole, F.lit("")))
+    df = docs.withColumn(content, key).join(
+        some, F.col(f"`{doc_id}`").eqNullSafe(F.col("_of")) & (F.col(content) == F.col("_of_content")), "left"
+    )
+    none = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    masked = F.aggregate(
+        F.col(spans),
+        none,
+        lambda a, s: F.struct(
+            F.greatest(a["at"], s["end"]).alias("at"),
+            F.when(
+                s["start"] >= a["at"],
+                F.concat(a["out"], F.substring(whole, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")), F.lit(mask)),
+            )
+            .otherwise(a["out"])
+            .alias("out"),
+        ),
+        lambda a: F.concat(a["out"], F.substring(whole, (a["at"] + 1).cast("int"), F.length(whole))),
+    )
+    found = F.size(F.coalesce(F.col(spans), F.array())) > 0
+    df = df.withColumn(told, F.when(found, masked).otherwise(whole))
+    new = {text: F.col(told)}
+    if n_chars in docs.columns:
+        length = F.when(found & F.col(n_chars).isNotNull(), F.length(told)).otherwise(F.col(n_chars))
+        new[n_chars] = length.cast(docs.schema[n_chars].dataType)
+    return df.select(*(new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
+
+
 @query()
 def op5_secret_scan(spark, sf_dir):
     return secret_scan(documents(spark, sf_dir))
