@@ -9,8 +9,10 @@ Links that are likely are verified first: those of a block's classes with the on
 with others, which joins groups of near copies at little cost. Then the blocks that still hold
 different components are searched in full. A block becomes a signature tree: nodes hold the OR and
 AND of the bitmaps below them and the range of sizes. Two trees, or one with itself, are traversed
-together, and a pair of nodes is left as soon as the largest possible overlap is too small. What
-remains is verified on whole sets. Large blocks are cut into tiles that meet in separate tasks.
+together, and a pair of nodes is left as soon as the largest possible overlap is too small, or all
+below it is joined already. What the search joins is a family; every link lies within one. It emits
+no more pairs than join a family, and whole sets then decide inside the families. Large blocks and
+families are cut into tiles that meet in separate tasks.
 
 Nothing but a bitmap of fixed size and counters reaches the driver. Null or empty text, or text
 without words, has no shingles and links to nothing. Null ids are ignored as names of components.
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +37,8 @@ SHARE = (85, 100)
 SPARED = (6, 100)
 BITS = 512
 LEAF, FAN = 32, 8
-TILE = 4096
+TILE, FAMILY_TILE = 4096, 512
+COLUMNS = 4096
 MEMBERS = 4096
 SLOTS = 1 << 23
 PIECE_BYTES = 2 << 20
@@ -168,15 +171,13 @@ def classes(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
 # -------------------------------------------------------------- verification
 
 
-def verified(pairs: DataFrame, docs: DataFrame, table: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
-    """Those pairs of classes ``(a, b)`` whose sets link.
+def sets_of(wanted: DataFrame, docs: DataFrame, table: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
+    """``cls, shingles`` for the classes of ``wanted(cls)``.
 
     One text of each class is read again and becomes a set. Texts are found through a bitmap of
-    ``SLOTS`` hashed ids, which lets some others pass but none be missed. The sets of all ``b`` of one
-    ``a`` stream past its own; beyond ``MEMBERS`` of them they are dealt out to several tasks.
+    ``SLOTS`` hashed ids, which lets some others pass but none be missed.
     """
-    spark = pairs.sparkSession
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    spark = wanted.sparkSession
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).cast("int")
     chosen = table.groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
     slots = chosen.join(wanted, "cls", "left_semi").select(slot.alias("slot")).distinct().toArrow()
@@ -194,7 +195,17 @@ def verified(pairs: DataFrame, docs: DataFrame, table: DataFrame, doc_id="doc_id
             yield pa.RecordBatch.from_arrays(columns, names=["cls", "shingles"])
 
     sets = rows.select("text", slot.alias("slot")).mapInArrow(read, "cls long, shingles binary")
-    sets = sets.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.first("shingles").alias("shingles"))
+    return sets.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.first("shingles").alias("shingles"))
+
+
+def verified(pairs: DataFrame, docs: DataFrame, table: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
+    """Those pairs of classes ``(a, b)`` whose sets link.
+
+    The sets of all ``b`` of one ``a`` stream past its own; beyond ``MEMBERS`` of them they are
+    dealt out to several tasks.
+    """
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    sets = sets_of(wanted, docs, table, doc_id, text)
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
     heads = parts.join(sets, F.col("a") == F.col("cls")).select(
         "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), "shingles"
@@ -303,13 +314,41 @@ def _survive(x, y) -> np.ndarray:
     return apart & links(overlap, np.maximum(low_x, overlap), np.maximum(low_y, overlap))
 
 
-def tree_pairs(x: SignatureTree, y: SignatureTree) -> list[tuple[int, int]]:
-    """Rows of two trees (or of one with itself) that may link and lie in different components."""
-    same = x is y
-    out = []
+class Labels:
+    """Which rows are joined; every row has the label of its group."""
+
+    def __init__(self, first: np.ndarray):
+        _, self.of = np.unique(first, return_inverse=True)
+        self.groups = int(self.of.max(initial=-1)) + 1
+
+    def join(self, rows: np.ndarray, others: np.ndarray, out: list[tuple[int, int]]) -> None:
+        """Joins pairs of rows in turn, noting those that brought two groups together."""
+        apart = self.of[rows] != self.of[others]
+        while apart.any():
+            k = int(apart.argmax())
+            p, q = int(rows[k]), int(others[k])
+            out.append((p, q))
+            self.of[self.of == self.of[q]] = self.of[p]
+            self.groups -= 1
+            rows, others = rows[apart], others[apart]
+            apart = self.of[rows] != self.of[others]
+
+
+def join_trees(x: SignatureTree, y: SignatureTree, at_x, at_y, labels: Labels) -> list[tuple[int, int]]:
+    """Joins rows of two trees (or of one with itself) that may link.
+
+    ``at_x`` and ``at_y`` are the places of the trees' rows among those labelled. Pairs that brought
+    two groups together are returned.
+    """
+    same, out = x is y, []
+    at_x, at_y = at_x[x.order], at_y[y.order]
     tops = [(len(x.levels) - 1, 0, len(y.levels) - 1, 0)]
-    while tops:
+    while tops and labels.groups > 1:
         i, a, j, b = tops.pop()
+        if i == j == 0:  # two leaves: nothing to do where all is joined
+            own = labels.of[at_x[a * LEAF : (a + 1) * LEAF]], labels.of[at_y[b * LEAF : (b + 1) * LEAF]]
+            if (own[0] == own[0][0]).all() and (own[1] == own[0][0]).all():
+                continue
         # the higher node opens, or both; the rows of a leaf count as level -1
         ni, rows_x = x.below(i, a) if i >= j else (i, np.array([a]))
         nj, rows_y = y.below(j, b) if j >= i else (j, np.array([b]))
@@ -320,61 +359,113 @@ def tree_pairs(x: SignatureTree, y: SignatureTree) -> list[tuple[int, int]]:
             ok &= rows_x[:, None] <= rows_y[None] if ni >= 0 else rows_x[:, None] < rows_y[None]
         p, q = np.nonzero(ok)
         if ni < 0 and nj < 0:
-            out.extend(zip(x.order[rows_x[p]].tolist(), y.order[rows_y[q]].tolist(), strict=True))
+            labels.join(at_x[rows_x[p]], at_y[rows_y[q]], out)
         else:
             tops.extend((ni, int(r), nj, int(s)) for r, s in zip(rows_x[p], rows_y[q], strict=True))
     return out
 
 
 def block_pairs(cls, n, comp, sig, side) -> list[tuple[int, int]]:
-    """Pairs of one block that need verification; ``side`` tells the two tiles apart."""
-    if (comp == comp[0]).all():
-        return []
+    """Pairs that join all of a block that may link; ``side`` tells two tiles apart."""
+    labels = Labels(comp)
     if (side == side[0]).all():
-        tree = SignatureTree(n, comp, sig)
-        found = tree_pairs(tree, tree)
-        return [(int(cls[p]), int(cls[q])) for p, q in found]
-    x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    found = tree_pairs(SignatureTree(n[x], comp[x], sig[x]), SignatureTree(n[y], comp[y], sig[y]))
-    return [(int(cls[x[p]]), int(cls[y[q]])) for p, q in found]
+        tree, all_ = SignatureTree(n, comp, sig), np.arange(len(n))
+        found = join_trees(tree, tree, all_, all_, labels)
+    else:
+        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        found = join_trees(SignatureTree(n[x], comp[x], sig[x]), SignatureTree(n[y], comp[y], sig[y]), x, y, labels)
+    return [(int(cls[p]), int(cls[q])) for p, q in found]
 
 
-def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of all blocks; rows come sorted by block."""
-    names = ("key", "i", "j", "side", "cls", "n", "comp")
+def _whole_groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Rows sorted by the named columns, cut between groups, and where groups begin and end."""
     rest = None
-    seen: set[tuple[int, int]] = set()
 
-    def done(rows, last):
-        """Pairs of the complete blocks, and the rows of the one that may go on."""
-        key, i, j, side, cls, n, comp = (rows.column(c).to_numpy() for c in names)
-        sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint64).reshape(len(key), -1)
-        new = np.append(True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))
-        at = np.append(np.flatnonzero(new), len(key))
-        if not last:
-            at = at[:-1]
+    def borders(rows):
+        new = np.zeros(rows.num_rows, bool)
+        new[:1] = True
+        for c in names:
+            v = rows.column(c).to_numpy()
+            new[1:] |= v[1:] != v[:-1]
+        return np.append(np.flatnonzero(new), rows.num_rows)
+
+    for batch in batches:
+        if batch.num_rows:
+            rows = batch if rest is None else pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+            at = borders(rows)
+            if len(at) > 2:
+                yield rows.slice(0, int(at[-2])), at[:-1]
+            rest = rows.slice(int(at[-2]))
+    if rest is not None:
+        yield rest, borders(rest)
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    pairs = np.array(found, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+
+def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that join the families of all blocks; rows come sorted by block."""
+    seen: set[tuple[int, int]] = set()
+    for rows, at in _whole_groups(batches, ["key", "i", "j"]):
+        side, cls, n, comp = (rows.column(c).to_numpy() for c in ("side", "cls", "n", "comp"))
+        sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint64).reshape(len(n), -1)
         size = np.diff(at)
         two = at[:-1][size == 2]
         ok = _survive(*(tuple(f[two + k] for f in (sig, sig, n, n, comp, comp)) for k in (0, 1)))
-        out = list(zip(cls[two[ok]].tolist(), cls[two[ok] + 1].tolist(), strict=True))
+        found = list(zip(cls[two[ok]].tolist(), cls[two[ok] + 1].tolist(), strict=True))
         for a, b in zip(at[:-1][size > 2].tolist(), at[1:][size > 2].tolist(), strict=True):
-            out.extend(block_pairs(cls[a:b], n[a:b], comp[a:b], sig[a:b], side[a:b]))
-        return out, None if last else rows.slice(int(at[-1]))
-
-    def emitted(found):
-        fresh = {(min(p), max(p)) for p in found} - seen
+            found.extend(block_pairs(cls[a:b], n[a:b], comp[a:b], sig[a:b], side[a:b]))
+        fresh = sorted({(min(p), max(p)) for p in found} - seen)
         if len(seen) < 1_000_000:  # fewer repeats to send; what slips through is dropped later
             seen.update(fresh)
-        pairs = np.array(sorted(fresh), np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
-    for batch in batches:
-        if batch.num_rows:
-            rows = batch if rest is None else pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
-            found, rest = done(rows, False)
-            yield emitted(found)
-    if rest is not None:
-        yield emitted(done(rest, True)[0])
+        yield _pairs(fresh)
+
+
+def overlaps(sets: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, from products of incidence matrices, some columns at a time."""
+    size = np.array([len(s) for s in (*sets, *others)])
+    token, at, times = np.unique(np.concatenate([*sets, *others]), return_inverse=True, return_counts=True)
+    row, several = np.repeat(np.arange(len(size)), size), times[at] > 1
+    # tokens of a single set are in no intersection
+    _, at = np.unique(at[several], return_inverse=True)
+    row = row[several]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    out = np.zeros((len(sets), len(others)), np.float32)
+    for base in range(0, int(at[-1]) + 1 if len(at) else 0, COLUMNS):
+        a, b = np.searchsorted(at, [base, base + COLUMNS])
+        held = np.zeros((len(size), COLUMNS), np.float32)
+        held[row[a:b], at[a:b] - base] = 1
+        out += held[: len(sets)] @ held[len(sets) :].T
+    return out.astype(np.int64)
+
+
+def family_links(cls, comp, sets, side) -> list[tuple[int, int]]:
+    """Links that join components within one family, or between two tiles of it."""
+    labels, out = Labels(comp), []
+    n = np.array([len(s) for s in sets])
+    one = (side == side[0]).all()
+    x = np.arange(len(n)) if one else np.flatnonzero(side == 0)
+    y = x if one else np.flatnonzero(side == 1)
+    for a in range(0, len(x), FAMILY_TILE):
+        for b in range(a if one else 0, len(y), FAMILY_TILE):
+            p, q = x[a : a + FAMILY_TILE], y[b : b + FAMILY_TILE]
+            i, j = np.nonzero(links(overlaps([sets[k] for k in p], [sets[k] for k in q]), n[p][:, None], n[q][None]))
+            labels.join(p[i], q[j], out)
+    return [(int(cls[p]), int(cls[q])) for p, q in out]
+
+
+def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between components of all families; rows come sorted by family."""
+    for rows, at in _whole_groups(batches, ["family", "i", "j"]):
+        cls, comp, side = (rows.column(c).to_numpy() for c in ("cls", "comp", "side"))
+        sets = [np.frombuffer(x, np.uint64) for x in rows.column("shingles").to_pylist()]
+        found = []
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            found.extend(family_links(cls[a:b], comp[a:b], sets[a:b], side[a:b]))
+        yield _pairs(found)
 
 
 # ---------------------------------------------------------------------- join
@@ -410,40 +501,56 @@ def likely(rows: DataFrame) -> DataFrame:
     return pairs.filter(f"times * 4 * {SHARE[1]} >= n * {SHARE[1] - SHARE[0]}").select("a", "b")
 
 
-def remaining(rows: DataFrame, table: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs of different components that some block does not rule out."""
+def _tiled(rows: DataFrame, group: str, tiles: Column, *columns: str) -> DataFrame:
+    """Rows dealt to the pairs of tiles of their group, each tile with itself and every other."""
+    rows = rows.withColumn("tiles", tiles.cast("int"))
+    rows = rows.withColumn("tile", F.pmod(F.xxhash64("cls"), "tiles").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    rows = rows.select(
+        group,
+        F.least("tile", "other").alias("i"),
+        F.greatest("tile", "other").alias("j"),
+        (F.col("tile") > F.col("other")).cast("int").alias("side"),
+        *columns,
+    )
+    return rows.repartition(group, "i", "j").sortWithinPartitions(group, "i", "j")
+
+
+def searched(rows: DataFrame, table: DataFrame, comps: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` that join what some block does not rule out to link."""
     rows = rows.join(comps, "cls", "left").select("key", "cls", "n", F.coalesce("comp", "cls").alias("comp"))
     open_ = rows.groupBy("key").agg(
         F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("n").alias("small"), F.max("n").alias("big"), F.count("*").alias("m")
     )
     # two classes of sizes too far apart need no search
     open_ = open_.filter(f"lo <> hi AND (m > 2 OR small * {SHARE[1]} >= big * {SHARE[0]})")
-    rows = rows.join(open_.select("key", F.ceil(F.col("m") / TILE).cast("int").alias("tiles")), "key")
     sigs = table.groupBy("cls").agg(F.first("sig").alias("sig"))
-    rows = rows.join(sigs, "cls").withColumn("tile", F.pmod(F.xxhash64("cls"), "tiles").cast("int"))
-    # each tile meets itself and every other one
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    rows = rows.select(
-        "key",
-        F.least("tile", "other").alias("i"),
-        F.greatest("tile", "other").alias("j"),
-        (F.col("tile") > F.col("other")).cast("int").alias("side"),
-        "cls",
-        "n",
-        "comp",
-        "sig",
-    )
-    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    rows = rows.join(open_.select("key", "m"), "key").join(sigs, "cls")
+    rows = _tiled(rows, "key", F.ceil(F.col("m") / TILE), "cls", "n", "comp", "sig")
     return rows.mapInArrow(_searched, "a long, b long").distinct()
 
 
+def decided(pairs: DataFrame, first: DataFrame, comps: DataFrame, docs, table, doc_id="doc_id", text="text") -> DataFrame:
+    """Links ``(a, b)`` between the components that make up the families of ``pairs``."""
+    families = components(pairs.unionByName(first)).withColumnRenamed("comp", "family")
+    lone = families.select(F.col("family").alias("cls"), "family").distinct()
+    rows = families.unionByName(lone).join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    sizes = rows.groupBy("family").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
+    rows = stored(rows.join(sizes.filter("lo <> hi").select("family", "m"), "family"))
+    sets = sets_of(rows.select("cls").distinct(), docs, table, doc_id, text)
+    rows = rows.join(sets, "cls")
+    rows = _tiled(rows, "family", F.ceil(F.col("m") / FAMILY_TILE), "cls", "comp", "shingles")
+    return rows.mapInArrow(_decided, "a long, b long")
+
+
 def _named(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Per row: ``doc_id, n, cls, comp``; rows without shingles have no component."""
     table = stored(classes(docs, doc_id, text))
     rows = stored(blocks(table.filter("n > 0")))
     first = stored(verified(stored(likely(rows)), docs, table, doc_id, text))
-    pairs = stored(remaining(rows, table, components(first)))
-    second = verified(pairs, docs, table, doc_id, text)
+    comps = components(first)
+    pairs = stored(searched(rows, table, comps))
+    second = decided(pairs, first, comps, docs, table, doc_id, text)
     comps = components(first.unionByName(second))
     named = table.select("doc_id", "n", "cls").join(comps, "cls", "left")
     return stored(named.withColumn("comp", F.when(F.col("n") > 0, F.coalesce("comp", "cls"))))

@@ -99,7 +99,7 @@ def near(n, vocabulary=40, seed=5):
 
 @pytest.mark.parametrize(("tile", "leaf", "members"), [(4096, 32, 4096), (12, 3, 5)])
 def test_join_equals_brute_force(spark, monkeypatch, tile, leaf, members):
-    for name, value in (("TILE", tile), ("LEAF", leaf), ("MEMBERS", members)):
+    for name, value in (("TILE", tile), ("FAMILY_TILE", tile), ("LEAF", leaf), ("MEMBERS", members)):
         monkeypatch.setattr(ngram_join, name, value)
     texts = near(250) + TEXTS + ["a b", "A  b", "a b c"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
@@ -124,10 +124,23 @@ def test_trees_lose_no_pair():
         for j in range(i)
         if ngram_join.links(len(np.intersect1d(sets[i], sets[j])), n[i], n[j])
     }
-    found = ngram_join.block_pairs(comp, n, comp, sig, np.zeros(len(n), int))
-    assert want <= {(max(p), min(p)) for p in found} and len(found) < len(sets) ** 2 / 20
-    halves = ngram_join.block_pairs(comp, n, comp, sig, comp % 2)
-    assert {p for p in want if (p[0] + p[1]) % 2} <= {(max(p), min(p)) for p in halves}
+    def family(pairs):
+        of = list(range(len(sets)))
+        for a, b in pairs:
+            of = [of[a] if x == of[b] else x for x in of]
+        return of
+
+    for side in (np.zeros(len(n), int), comp % 2):
+        found = ngram_join.block_pairs(comp, n, comp, sig, side)
+        of = family(found)
+        assert len(found) < len(sets)
+        assert all(of[a] == of[b] for a, b in want if not side.any() or side[a] != side[b])
+        assert len(set(of)) > 20  # unlike sets stay apart
+        got = family(ngram_join.family_links(comp, comp, sets, side))
+        true = family(p for p in want if not side.any() or side[p[0]] != side[p[1]])
+        assert all((got[a] == got[b]) == (true[a] == true[b]) for a in comp for b in comp[:a])
+    exact = ngram_join.overlaps(sets[:40], sets[30:])
+    assert all(exact[i, j] == len(np.intersect1d(sets[i], sets[30 + j])) for i in range(40) for j in range(0, 60, 7))
 
 
 def test_one_of_each_group_stays(spark, strained):
