@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearfield.functions import expr
+from nearfield.index import new_index
 from nearfield.operators import evaluate, graph, ivf, kmeans, knn, lookup, quant, shape
 from nearfield.plans import sizing
 from nearfield.sources import packed, store, table
@@ -306,21 +307,23 @@ def packed_results_round_trip(spark, sf_dir):
 
 
 @_query("""SELECT CASE label WHEN 0 THEN 'null_vector' WHEN 1 THEN 'wrong_dim' WHEN 2 THEN 'null_element'
-  WHEN 3 THEN 'non_finite' WHEN 4 THEN 'non_finite' WHEN 5 THEN 'null_id' ELSE 'good' END AS reason,
+  WHEN 3 THEN 'non_finite' WHEN 4 THEN 'non_finite' WHEN 5 THEN 'null_id' WHEN 6 THEN 'non_integer_id'
+  WHEN 7 THEN 'non_finite' ELSE 'good' END AS reason,
   count(*) AS rows FROM embeddings GROUP BY 1""")
 def validate_vectors(spark, sf_dir):
-    v, label = F.col("embedding"), F.col("label")
+    v, label = F.col("embedding").cast("array<double>"), F.col("label")
     head = F.slice(v, 1, DIM - 1)
 
     def last(x):
-        return F.concat(head, F.array(F.lit(x).cast("float")))
+        return F.concat(head, F.array(F.lit(x).cast("double")))
 
     spoiled = _read(spark, sf_dir, "embeddings").select(
-        F.when(label != 5, F.col("vec_id")).alias("id"),
+        F.when(label == 6, F.col("vec_id") + F.lit(0.5)).when(label != 5, F.col("vec_id")).alias("id"),
         F.when(label == 1, head)
         .when(label == 2, last(None))
         .when(label == 3, last(float("nan")))
         .when(label == 4, last(float("inf")))
+        .when(label == 7, last(1e39))
         .when(label != 0, v)
         .alias("vec"),
     )
@@ -876,6 +879,14 @@ def ivf_pq_rerank(spark, sf_dir):
     return _rounded(quant.rerank(rough, queries, points, 10))
 
 
+@_query(ORACLES["ivf_pq_rerank"])
+def ivf_pq_rerank_padded(spark, sf_dir):
+    points = _stretched(spark, sf_dir)
+    queries = knn.as_queries(points.df, "id")
+    rough = ivf.ivf_search(_pq_index(spark, sf_dir), queries, 40, nprobe=3)
+    return _rounded(quant.rerank(shape.pad_results(rough, queries, 60), queries, points, 10))
+
+
 @_query(f"WITH {PQ_LISTS} {_elements_sql('pq_lists', 'id')}")
 def pq_reconstruct(spark, sf_dir):
     points = _stretched(spark, sf_dir)
@@ -909,7 +920,21 @@ both_ways AS (SELECT qid, id, distance FROM near UNION SELECT id, qid, distance
 {_ranked_sql("kept", "SELECT * FROM both_ways", 16)}
 SELECT qid AS src, id AS dst, round(distance, 6) AS distance FROM kept""")
 def graph_edges(spark, sf_dir):
-    return _rounded(graph.graph_build(_stretched(spark, sf_dir), 8).edges)
+    return _rounded(graph.graph_build(_stretched(spark, sf_dir), 8, "exact").edges)
+
+
+@_query(ORACLES["graph_edges"])
+def graph_edges_by_descent(spark, sf_dir):
+    points = _stretched(spark, sf_dir)
+    return _rounded(graph.graph_build(points, 8, nprobe=points.count()).edges)
+
+
+@_query(ORACLES["graph_edges"])
+def save_and_load_graph(spark, sf_dir):
+    points = _stretched(spark, sf_dir)
+    index = new_index(spark, DIM, "graph", degree=8)
+    index = replace(index, table=points, graph=graph.graph_build(points, 8, "exact"))
+    return _rounded(index.clone(sizing.new_path(spark)).graph.edges)
 
 
 @_query()
@@ -935,20 +960,35 @@ def _stream(spark, sf_dir) -> DataFrame:
 @_query("SELECT vec_id AS id, len(embedding) AS dim FROM embeddings")
 def stream_append(spark, sf_dir):
     path = sizing.new_path(spark)
-    job = jobs.stream_append(_stream(spark, sf_dir), path, DIM, f"{path}/log")
+    job = jobs.stream_append(_stream(spark, sf_dir), path, DIM, f"{path}/log", "embeddings")
     job.trigger(availableNow=True).start().awaitTermination()
     rows = jobs.appended(spark, path, DIM).df
     return rows.select("id", F.size("vec").cast("long").alias("dim"))
 
 
+@_query(_elements_sql("""(SELECT vec_id AS id, embedding AS vec FROM embeddings
+UNION ALL SELECT vec_id + 1000000000, embedding FROM embeddings)""", "id"))
+def stream_append_two_writers(spark, sf_dir):
+    path = sizing.new_path(spark)
+    rows = _stream(spark, sf_dir)
+    moved = rows.withColumn("id", F.col("id") + 1000000000)
+    for name, source in (("first", rows), ("second", moved)):
+        job = jobs.stream_append(source, path, DIM, f"{path}/log-{name}", name)
+        job.trigger(availableNow=True).start().awaitTermination()
+    # the first one again from the start: nothing is added
+    job = jobs.stream_append(rows, path, DIM, f"{path}/log-again", "first", replace=True)
+    job.trigger(availableNow=True).start().awaitTermination()
+    return _elements(jobs.appended(spark, path, DIM).df, "id")
+
+
 @_query(f"""WITH plain AS (SELECT vec_id AS id, embedding AS vec FROM embeddings), {STRETCHED},
 {_knn_sql("found", "plain", "stretched", 5)} SELECT {RESULT} FROM found""")
 def stream_search(spark, sf_dir):
     path = sizing.new_path(spark)
     queries = _stream(spark, sf_dir).withColumnRenamed("id", "qid")
-    job = jobs.stream_search(queries, _stretched(spark, sf_dir), 5, path, f"{path}-log")
+    job = jobs.stream_search(queries, _stretched(spark, sf_dir), 5, path, f"{path}-log", "queries")
     job.trigger(availableNow=True).start().awaitTermination()
-    return _rounded(spark.read.parquet(path).drop("batch"))
+    return _rounded(spark.read.parquet(path).drop("writer", "run", "batch"))
 
 
 @_query(f"""WITH {STRETCHED}, {_means_sql("means", "stretched", "label")},

@@ -50,11 +50,17 @@ class VectorIndex:
         return 0 if self.lists.rows is None else self.lists.rows.count()
 
     def train(self, sample: DataFrame, seed: int = 1) -> "VectorIndex":
-        """Train on ``sample(id, vec)``; kinds without training ignore it."""
+        """Train on ``sample(id, vec)``; kinds without training ignore it.
+
+        An index that holds rows refuses, as they lie in the lists of the model it has.
+        """
         if self.lists is None:
             return self
+        if self.lists.rows is not None and not self.lists.rows.isEmpty():
+            raise RuntimeError("index holds rows: reset it before training it again")
         points = vector_table(sample, dim=self.dim, metric=self.metric)
-        lists = ivf.ivf_train(self.lists, points, seed=seed)
+        fresh = ivf.ivf_index(self.dim, self.params["nlist"], self.metric)
+        lists = ivf.ivf_train(fresh, points, seed=seed)
         if not lists.trained:
             return self
         if self.kind == "ivf_half":
@@ -114,12 +120,27 @@ class VectorIndex:
         return replace(self, table=store.truncate(self.table), graph=None)
 
     def save(self, path: str) -> None:
-        store.save(self.table if self.lists is None else self.lists, path)
+        """Write rows, training, graph, kind and parameters."""
+        if self.lists is None:
+            store.save(self.table, f"{path}/table")
+        elif self.lists.trained:
+            store.save(self.lists, f"{path}/lists")
+        if self.graph is not None:
+            store.save(self.graph.pivots, f"{path}/pivots")
+            self.graph.edges.write.parquet(f"{path}/edges")
+        state = {
+            "dim": self.dim,
+            "metric": self.metric,
+            "params": self.params,
+            "trained": self.trained,
+            "graph": self.graph is not None,
+        }
+        store.commit(self.spark, path, kind=self.kind, **state)
 
     def clone(self, path: str) -> "VectorIndex":
         """Independent copy stored under the path."""
         self.save(path)
-        return load_index(self.spark, path, self.kind, self.params)
+        return load_index(self.spark, path)
 
     def _require_trained(self) -> None:
         if not self.trained:
@@ -164,16 +185,17 @@ def new_index(
     return replace(index, table=index._empty())
 
 
-def load_index(
-    spark: SparkSession, path: str, kind: str | None = None, params: dict | None = None
-) -> VectorIndex:
-    """Index from a saved table. ``kind='graph'`` builds the graph anew."""
-    saved = store.load(spark, path)
-    params = params or {"degree": 16}
-    if isinstance(saved, ivf.IvfIndex):
-        kind = kind or {"Half": "ivf_half", "Product": "ivf_pq"}.get(
-            type(saved.decode).__name__, "ivf"
-        )
-        return VectorIndex(spark, saved.dim, kind, saved.metric, params, lists=saved)
-    index = VectorIndex(spark, saved.dim, kind or "flat", saved.metric, params)
-    return index._with_table(saved)
+def load_index(spark: SparkSession, path: str) -> VectorIndex:
+    """What :meth:`VectorIndex.save` wrote, of the same kind, training and parameters."""
+    meta = store.read_meta(spark, path)
+    index = VectorIndex(spark, meta["dim"], meta["kind"], meta["metric"], meta["params"])
+    if meta["kind"].startswith("ivf"):
+        if meta["trained"]:
+            return replace(index, lists=store.load(spark, f"{path}/lists"))
+        return replace(index, lists=ivf.ivf_index(index.dim, index.params["nlist"], index.metric))
+    table = store.load(spark, f"{path}/table")
+    if not meta["graph"]:
+        return replace(index, table=table)
+    edges = spark.read.parquet(f"{path}/edges")
+    pivots = store.load(spark, f"{path}/pivots")
+    return replace(index, table=table, graph=graph.GraphIndex(table, edges, pivots))

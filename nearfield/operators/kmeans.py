@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from dataclasses import dataclass
 
 import numpy as np
@@ -208,14 +209,18 @@ def _train_distributed(
 ) -> KMeansModel:
     """The same rounds with centroids as a table, for models too large to broadcast.
 
-    Centroids are kept as float32 and an empty cluster keeps its centroid.
+    Centroids are kept as float32, which is all that differs.
     """
     if init is not None:
         start = init.withColumn("id", F.col("cluster").cast("long"))
     else:
         start = _many_starts(df, k, rows, seed)
     start = sizing.cut_lineage(start.select("id", F.col("vec").cast("array<float>")))
+    if start.count() != k:
+        raise ValueError(f"init must hold exactly {k} centroids")
     centroids = VectorTable(start, dim, "l2", k)
+    # ids may repeat, so rows are found again by a key of their own
+    df = sizing.cut_lineage(df.withColumn("id", F.monotonically_increasing_id()))
     inertia: list[float] = []
     for _ in range(iterations):
         means = (
@@ -223,19 +228,60 @@ def _train_distributed(
             .groupBy(F.col("cluster").cast("long").alias("id"))
             .agg(
                 vector_to_array(Summarizer.mean(array_to_vector("vec"))).alias("mean"),
+                F.count("*").alias("n"),
                 F.sum("distance").alias("cost"),
             )
         )
         moved = sizing.cut_lineage(
             centroids.df.join(means, "id", "left").select(
-                "id", F.coalesce(F.col("mean").cast("array<float>"), "vec").alias("vec"), "cost"
+                "id",
+                F.coalesce(F.col("mean").cast("array<float>"), "vec").alias("vec"),
+                (F.col("mean").cast("array<float>") == F.col("vec")).alias("still"),
+                F.coalesce("n", F.lit(0)).alias("n"),
+                "cost",
             )
         )
-        inertia.append(moved.agg(F.sum("cost")).first()[0])
-        centroids = VectorTable(moved.select("id", "vec"), dim, "l2", k)
+        cost, empty, moving = moved.agg(
+            F.sum("cost"), F.count_if(F.col("n") == 0), F.count_if(~F.col("still"))
+        ).first()
+        inertia.append(cost)
+        after = _split_largest(moved, empty) if empty else moved.select("id", "vec")
+        centroids = VectorTable(after, dim, "l2", k)
+        if not empty and not moving:
+            break
     return KMeansModel(k, dim, centroids, tuple(inertia))
 
 
+def _split_largest(moved: DataFrame, empty: int) -> DataFrame:
+    """Centroids of which each empty cluster has taken half of the then largest one.
+
+    Only clusters among the ``empty`` largest can be split, so their sizes and the numbers of the
+    empty ones suffice to decide; the vectors stay where they are.
+    """
+    gaps = [r.id for r in moved.filter("n = 0").orderBy("id").select("id").collect()]
+    top = moved.filter("n > 0").orderBy(F.desc("n"), "id").limit(empty).select("id", "n").collect()
+    heap = [(-float(r.n), r.id) for r in top]
+    heapq.heapify(heap)
+    # what each changed cluster is made of: a centroid, and factors of its even and odd elements
+    made = {r.id: (r.id, 1.0, 1.0) for r in top}
+    for gap in gaps:
+        size, donor = heapq.heappop(heap)
+        base, even, odd = made[donor]
+        made[gap] = (base, even * (1 + SPLIT), odd * (1 - SPLIT))
+        made[donor] = (base, even * (1 - SPLIT), odd * (1 + SPLIT))
+        for part in (donor, gap):
+            heapq.heappush(heap, (size / 2, part))
+    rows = [(i, *x) for i, x in made.items()]
+    spark = moved.sparkSession
+    changes = spark.createDataFrame(rows, "_id long, _base long, _even double, _odd double")
+    split = changes.join(moved, F.col("_base") == F.col("id")).select(
+        F.col("_id").alias("id"),
+        F.expr("transform(vec, (x, i) -> float(x * if(i % 2 = 0, _even, _odd)))").alias("vec"),
+    )
+    rest = moved.join(changes, F.col("_id") == F.col("id"), "left_anti").select("id", "vec")
+    return sizing.cut_lineage(rest.unionByName(split))
+
+
 def _many_starts(df: DataFrame, k: int, rows: int, seed: int) -> DataFrame:
     """The k rows smallest by a seeded hash, numbered, without collecting them."""
     place = F.xxhash64(F.col("id"), F.lit(seed))
@@ -262,7 +308,8 @@ def assign_rows(df: DataFrame, centroids: VectorTable, rows: int | None = None)
 
 def assign(model: KMeansModel, df: DataFrame) -> DataFrame:
     """``(id, cluster, distance)`` per row; map-only while the centroids can be broadcast."""
-    return assign_rows(df, model.require().table)
+    rows = with_cluster(df.select("id", "vec"), model.require().table)
+    return rows.select(F.col("id").cast("long").alias("id"), "cluster", "distance")
 
 
 def with_cluster(
@@ -271,15 +318,17 @@ def with_cluster(
     """``df(id, vec, ...)`` with the nearest centroid and its distance as columns.
 
     While the centroids can be broadcast only ``vec`` visits Python and no row
-    moves; beyond that the assignment is joined back on ``id``.
+    moves; beyond that the assignment is joined back on a key of the row, as
+    ids may repeat.
     """
     local = sizing.small_matrix(centroids.df, "id", centroids.dim, centroids.rows)
     if local is None:
-        queries = df.select(F.col("id").alias("qid"), "vec")
+        rows = sizing.cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+        queries = rows.select(F.col("_row").alias("qid"), "vec")
         found = knn_join(queries, centroids, 1, metric).select(
-            F.col("qid").alias("id"), F.col("id").cast("int").alias(name), "distance"
+            F.col("qid").alias("_row"), F.col("id").cast("int").alias(name), "distance"
         )
-        return df.join(found, "id")
+        return rows.join(found, "_row").drop("_row")
     shared, dim = df.sparkSession.sparkContext.broadcast(local), centroids.dim
 
     @F.arrow_udf("struct<cluster: int, distance: double>")

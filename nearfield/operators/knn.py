@@ -13,16 +13,16 @@ from pyspark.sql import functions as F
 from nearfield.functions import expr
 from nearfield.functions.kernels import Flat, matrix, sq_norms, vectors
 from nearfield.plans import scan, sizing, tiles
-from nearfield.sources.table import VectorTable, check_metric, check_positive
+from nearfield.sources.table import VectorTable, check_metric, check_positive, checked, whole_id
 
 MAX_PIVOTS = 1024
 BLOCK = 4096
 
 
 def as_queries(df: DataFrame, id: str = "qid", vec: str = "vec") -> DataFrame:
-    """Query rows ``(qid, vec)`` from any id and vector column."""
+    """Query rows ``(qid, vec)`` from any id and vector column; an id that is no integer fails."""
     return df.select(
-        F.col(id).cast("long").alias("qid"), F.col(vec).cast("array<float>").alias("vec")
+        whole_id(df, id).alias("qid"), F.col(vec).cast("array<float>").alias("vec")
     )
 
 
@@ -41,10 +41,13 @@ def knn_join(
     A side within the broadcast limit is broadcast: a small table makes the
     join map-only, small queries make it one scan with a merge of short lists.
     Two large sides are routed through regions of the table and shuffled.
+    A query of another size, or with a missing, NaN or infinite element, fails
+    the job, as a bad row of the table does.
     """
     check_positive("k", k)
     metric = check_metric(metric or table.metric)
     dim = table.dim
+    queries = checked(queries.select("qid", "vec"), dim, "qid")
     rows = table.count()
     corpus = sizing.small_matrix(table.df, "id", dim, rows)
     if corpus is not None:

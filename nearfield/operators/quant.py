@@ -114,10 +114,10 @@ class Codebook:
 
 def codebook(df: DataFrame) -> Codebook:
     """Codebook from ``(sub, code, vec)`` rows, as many codes in every sub-space."""
-    rows = df.orderBy("sub", "code").select("sub", "code", "vec").collect()
-    m = len({r.sub for r in rows})
-    if m == 0 or len(rows) % m or len(rows) // m > 256:
+    n, m = df.agg(F.count("*"), F.count_distinct("sub")).first()
+    if m == 0 or n % m or n // m > 256:
         raise ValueError("a codebook holds 1 to 256 codes, the same number per sub-space")
+    rows = df.orderBy("sub", "code").select("sub", "code", "vec").limit(n).collect()
     return Codebook(np.array([r.vec for r in rows], float).reshape(m, len(rows) // m, -1))
 
 

@@ -65,6 +65,20 @@ def _sound(df: DataFrame, dim: int, data: str, ids: str | None) -> DataFrame:
     return df.withColumn(data, sound)
 
 
+def joined(col: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all blobs of a column one after the other, and how many each holds."""
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    width = np.dtype(kind).itemsize
+    if not len(col):
+        return np.empty(0, kind), np.empty(0, np.int64)
+    wide = col.cast(pa.large_binary())
+    ends = np.frombuffer(wide.buffers()[1], np.int64)[wide.offset : wide.offset + len(wide) + 1]
+    data = wide.buffers()[2]
+    held = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.empty(0, np.uint8)
+    return np.frombuffer(held.tobytes(), kind), np.diff(ends) // width
+
+
 def unpack_vectors(
     df: DataFrame, dim: int, data: str = "data", blob_id: str = "blob_id", ids: str | None = None
 ) -> DataFrame:
@@ -78,18 +92,16 @@ def unpack_vectors(
 
     def unpack(batches):
         for batch in batches:
-            names = batch.column(0)
-            for i in range(batch.num_rows):
-                mat = np.frombuffer(batch.column(1)[i].as_buffer(), "<f4").reshape(-1, dim)
-                keys = np.frombuffer(batch.column(2)[i].as_buffer(), "<i8") if ids else None
-                for s in range(0, len(mat), SLICE):
-                    part = mat[s : s + SLICE]
-                    out = [
-                        pa.repeat(names[i], len(part)),
-                        pa.array(np.arange(s, s + len(part), dtype=np.int32)),
-                    ]
-                    out += [pa.array(keys[s : s + SLICE])] if ids else []
-                    yield pa.RecordBatch.from_arrays(out + [vectors(part)], names=fields)
+            flat, sizes = joined(batch.column(1), "<f4")
+            mat, counts = flat.reshape(-1, dim), sizes // dim
+            keys = joined(batch.column(2), "<i8")[0] if ids else None
+            blob = np.repeat(np.arange(len(counts)), counts)
+            pos = np.arange(len(mat)) - np.repeat(np.cumsum(counts) - counts, counts)
+            for s in range(0, len(mat), SLICE):
+                part = slice(s, s + SLICE)
+                out = [batch.column(0).take(pa.array(blob[part])), pa.array(pos[part].astype(np.int32))]
+                out += [pa.array(keys[part])] if ids else []
+                yield pa.RecordBatch.from_arrays(out + [vectors(mat[part])], names=fields)
 
     kind = df.schema[blob_id].dataType.simpleString()
     fields = ["blob_id", "pos"] + (["id"] if ids else []) + ["vec"]
@@ -104,9 +116,9 @@ def unpack_ids(df: DataFrame, ids: str = "ids", blob_id: str = "blob_id") -> Dat
 
     @F.arrow_udf("array<long>")
     def decode(col: pa.Array) -> pa.Array:
-        parts = [np.frombuffer(v.as_buffer(), "<i8") for v in col]
-        ends = np.cumsum([0] + [len(p) for p in parts]).astype(np.int32)
-        return pa.ListArray.from_arrays(ends, np.concatenate(parts or [np.empty(0, "<i8")]))
+        flat, sizes = joined(col, "<i8")
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
     return df.select(
         F.col(blob_id).alias("blob_id"), F.posexplode(decode(sound)).alias("pos", "id")

@@ -34,15 +34,12 @@ def save(table: VectorTable | IvfIndex | KMeansModel, path: str, sort_by_id: boo
         if sort_by_id:
             df = df.repartitionByRange("id").sortWithinPartitions("id")
         rows = _write(df, f"{path}/vectors")
-        _commit(table.df.sparkSession, path, kind="flat", rows=rows, **_shape(table))
+        commit(table.df.sparkSession, path, kind="flat", rows=rows, **_shape(table))
 
 
 def load(spark: SparkSession, path: str) -> VectorTable | IvfIndex | KMeansModel:
     """What :func:`save` wrote, ready for the same searches."""
-    try:
-        meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
-    except (AnalysisException, TypeError) as error:
-        raise FileNotFoundError(f"no saved table at {path}") from error
+    meta = read_meta(spark, path)
     kind = meta["kind"]
     if kind == "flat":
         df = spark.read.parquet(f"{path}/vectors")
@@ -52,6 +49,14 @@ def load(spark: SparkSession, path: str) -> VectorTable | IvfIndex | KMeansModel
     return _load_lists(spark, path, meta)
 
 
+def read_meta(spark: SparkSession, path: str) -> dict:
+    """The metadata row that marks a complete save."""
+    try:
+        return json.loads(spark.read.text(f"{path}/meta").first()[0])
+    except (AnalysisException, TypeError) as error:
+        raise FileNotFoundError(f"no saved table at {path}") from error
+
+
 def snapshot(table, path: str):
     """Independent stored copy of a table or index."""
     spark = _session(table)
@@ -84,7 +89,7 @@ def _write(df: DataFrame, path: str, by: str | None = None) -> int:
     return seen.get["rows"]
 
 
-def _commit(spark: SparkSession, path: str, **meta) -> None:
+def commit(spark: SparkSession, path: str, **meta) -> None:
     row = spark.createDataFrame([(json.dumps(meta),)], "value string")
     row.coalesce(1).write.text(f"{path}/meta")
 
@@ -92,7 +97,7 @@ def _commit(spark: SparkSession, path: str, **meta) -> None:
 def _save_model(model: KMeansModel, path: str) -> None:
     df = model.require().table.df
     _write(df.select("id", "vec"), f"{path}/centroids")
-    _commit(
+    commit(
         df.sparkSession, path, kind="kmeans", k=model.k, dim=model.dim, inertia=model.inertia
     )
 
@@ -113,11 +118,12 @@ def _save_lists(index: IvfIndex, path: str) -> None:
         rows = rows.repartitionByRange("list_id", "id").sortWithinPartitions("list_id", "id")
         meta["rows"] = _write(with_bucket(rows, per_bucket), f"{path}/lists", "bucket")
         meta["bucket_lists"] = per_bucket
+    if index.decode is not None:  # compression is kept without rows too
         meta["storage"] = type(index.decode).__name__.lower()
         if isinstance(index.decode, Product):
             book = Codebook(index.decode.books.value)
             _write(book.table(spark), f"{path}/codebook")
-    _commit(spark, path, kind="ivf", **meta, **_shape(index))
+    commit(spark, path, kind="ivf", **meta, **_shape(index))
 
 
 def _load_lists(spark: SparkSession, path: str, meta: dict) -> IvfIndex:
@@ -127,8 +133,10 @@ def _load_lists(spark: SparkSession, path: str, meta: dict) -> IvfIndex:
     )
     if meta["storage"] is None:
         return index
-    rows = spark.read.parquet(f"{path}/lists")
-    index = replace(index, rows=rows, bucket_lists=meta["bucket_lists"])
+    rows = None
+    if meta["bucket_lists"] is not None:
+        rows = spark.read.parquet(f"{path}/lists")
+        index = replace(index, rows=rows, bucket_lists=meta["bucket_lists"])
     if meta["storage"] == "product":
         return product_rows(index, codebook(spark.read.parquet(f"{path}/codebook")))
     if meta["storage"] == "half":

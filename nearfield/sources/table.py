@@ -57,18 +57,32 @@ def vector_table(
     check_positive("dim", dim)
     check_metric(metric)
     typed = df.select(
-        F.col(id).cast("long").alias("id"),
-        F.col(vec).cast("array<float>").alias("vec"),
-        *payload,
+        whole_id(df, id).alias("id"), F.col(vec).cast("array<float>").alias("vec"), *payload
     )
-    return VectorTable(_checked(typed, dim), dim, metric)
+    return VectorTable(checked(typed, dim), dim, metric)
 
 
-def _checked(df: DataFrame, dim: int) -> DataFrame:
-    reason = _reason(dim, "id", "vec")
+def whole_id(df: DataFrame, id: str) -> Column:
+    """The id as a 64-bit integer; a value that is none fails the job that reads it."""
+    if df.schema[id].dataType.typeName() in ("byte", "short", "integer", "long"):
+        return F.col(id).cast("long")
+    return F.expr(
+        f"CASE WHEN {_fractional(id)} THEN raise_error(concat('vector ', string(`{id}`), "
+        f"' rejected: non_integer_id')) ELSE CAST(`{id}` AS BIGINT) END"
+    )
+
+
+def _fractional(id: str) -> str:
+    whole = f"try_cast(`{id}` AS BIGINT)"
+    return f"(`{id}` IS NOT NULL AND ({whole} IS NULL OR {whole} != `{id}`))"
+
+
+def checked(df: DataFrame, dim: int, id: str = "id") -> DataFrame:
+    """The same rows of ``(id, vec, ...)``; a bad one fails the job that reads it."""
+    reason = _reason(dim, id, "vec")
     good = F.expr(
         f"CASE WHEN {reason} IS NULL THEN vec ELSE raise_error(concat('vector ', "
-        f"coalesce(string(id), 'without id'), ' rejected: ', {reason}, "
+        f"coalesce(string({id}), 'without id'), ' rejected: ', {reason}, "
         f"coalesce(concat(', size ', string(size(vec))), ''), ', expected {dim} finite elements')) END"
     )
     return df.withColumn("vec", good)
@@ -78,20 +92,21 @@ def _reason(dim: int, id: str, vec: str) -> str:
     """SQL text; array functions run as compiled loops, unlike lambdas.
 
     ``array_contains`` is NULL when the value is missing and an element is null;
-    ``array_max`` takes NaN for the largest value.
+    ``array_max`` takes NaN for the largest value. Ranges are those of float32,
+    to which elements are narrowed.
     """
     return (
-        f"CASE WHEN `{id}` IS NULL THEN 'null_id' "
+        f"CASE WHEN `{id}` IS NULL THEN 'null_id' WHEN {_fractional(id)} THEN 'non_integer_id' "
         f"WHEN `{vec}` IS NULL THEN 'null_vector' "
         f"WHEN size(`{vec}`) != {dim} THEN 'wrong_dim' "
         f"WHEN array_contains(`{vec}`, float('NaN')) IS NULL THEN 'null_element' "
-        f"WHEN array_max(`{vec}`) >= float('infinity') THEN 'non_finite' "
-        f"WHEN array_min(`{vec}`) = float('-infinity') THEN 'non_finite' END"
+        f"WHEN float(array_max(`{vec}`)) >= float('infinity') THEN 'non_finite' "
+        f"WHEN float(array_min(`{vec}`)) = float('-infinity') THEN 'non_finite' END"
     )
 
 
 def reject_reason(dim: int, id: str = "id", vec: str = "vec") -> Column:
-    """Name of the first broken rule, NULL for a good ``array<float>`` row."""
+    """Name of the first broken rule, NULL for a good row; arrays of float or double."""
     return F.expr(_reason(dim, id, vec))
 
 
@@ -140,8 +155,10 @@ def number_rows(
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     order.append(F.xxhash64(*df.columns))
+    # exact copies take any order among themselves, so their place in the input spreads them
+    placed = df.withColumn("_copy", F.monotonically_increasing_id()).orderBy(*order, "_copy")
     placed = cut_lineage(
-        df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id())
+        placed.drop("_copy").withColumn("_place", F.monotonically_increasing_id())
     )
     part = F.shiftright("_place", 33)
     sizes = sorted(placed.groupBy(part.alias("part")).count().collect())

@@ -245,11 +245,14 @@ def test_graph_recall_on_held_out_queries(spark, corpus):
     assert data.recall(spark, graph.graph_search(built, queries, 10), exact) > 0.9
 
 
-def test_graph_without_exact_neighbours(spark, corpus, monkeypatch):
+def test_graph_methods(spark, corpus):
     table, queries, exact, _, _ = corpus
     true = knn.self_knn(table, 8, exclude_self=True)
-    monkeypatch.setattr(graph, "EXACT_ROWS", 100)
-    built = graph.graph_build(table, 8, rounds=3, nprobe=3)
+    with pytest.raises(ValueError, match="descent or exact"):
+        graph.graph_build(table, 8, "magic")
+    full = graph.graph_build(table, 8, "exact").edges.selectExpr("src AS qid", "dst AS id")
+    assert data.recall(spark, full, true) == 1
+    built = graph.graph_build(table, 8, nprobe=3)
     near = built.edges.selectExpr("src AS qid", "dst AS id")
     assert data.recall(spark, near, true) > 0.9
     assert data.recall(spark, graph.graph_search(built, queries, 10), exact) > 0.85

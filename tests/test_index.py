@@ -41,7 +41,12 @@ def test_life_of_an_index(spark, tmp_path, kind):
     xs = spark.createDataFrame([(0, 5, x[5].tolist())], "pos int, id long, vec array<float>")
     np.testing.assert_allclose(index.residuals(xs).first().residual, np.zeros(8), atol=0.5)
     copy = index.clone(f"{tmp_path}/{kind}")
-    data.same(data.collected(copy.search(q, 3, nprobe=4)), found)
+    assert (copy.kind, copy.params) == (kind, index.params)
+    assert data.collected(copy.search(q, 3, nprobe=4)) == found
+    if kind.startswith("ivf"):
+        with pytest.raises(RuntimeError, match="reset it before"):
+            copy.train(rows)
+        assert data.collected(copy.search(q, 3, nprobe=4)) == found
     more = copy.add_with_ids(data.rows(spark, x[:1], [-7]))
     assert (more.ntotal(), copy.ntotal(), index.ntotal()) == (201, 200, 200)
     emptied = more.reset()
@@ -49,6 +54,16 @@ def test_life_of_an_index(spark, tmp_path, kind):
     again = emptied.add(rows.withColumnRenamed("id", "place"), "place")
     assert data.collected(again.search(q, 3, nprobe=4)) == found
     assert load_index(spark, f"{tmp_path}/{kind}").ntotal() == 200
+    # trained but empty: compression and training survive
+    bare = emptied.clone(f"{tmp_path}/{kind}-bare")
+    assert bare.trained and bare.ntotal() == 0
+    refilled = bare.add(rows.withColumnRenamed("id", "place"), "place")
+    assert data.collected(refilled.search(q, 3, nprobe=4)) == found
+    if kind.startswith("ivf"):
+        assert bare.train(rows).trained
+    # untrained
+    fresh = new_index(spark, 8, kind, **KINDS[kind]).clone(f"{tmp_path}/{kind}-fresh")
+    assert fresh.trained == (not kind.startswith("ivf")) and fresh.ntotal() == 0
 
 
 def test_kind_is_checked(spark):

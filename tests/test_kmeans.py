@@ -109,3 +109,27 @@ def test_near_centroid_filter_keeps_payload(spark):
     df = table.df.selectExpr("*", "id * 2 AS twice")
     near = kmeans.near_centroid_filter(model, df, 1.0)
     assert sorted(r.twice for r in near.collect()) == [2 * i for i in range(50)]
+
+
+def test_empty_clusters_beyond_the_broadcast_limit(spark):
+    x = np.repeat([[0.0] * 4, [1.0] * 4, [8.0] * 4], [10, 20, 5], 0)
+    points = data.points(spark, x)
+    start = data.rows(spark, x[[0, 1, 12, 13, 2, 3]], list(range(6))).withColumnRenamed("id", "cluster")
+    near = kmeans.kmeans_train(points, 6, 6, start)
+    few = start.limit(3)
+    spark.conf.set(sizing.BROADCAST_BYTES, "50")
+    try:
+        far = kmeans.kmeans_train(points, 6, 6, start)
+        with pytest.raises(ValueError, match="exactly 6"):
+            kmeans.kmeans_train(points, 6, 6, few)
+        got = {r.cluster: r.vec for r in far.centroids().collect()}
+        same = data.rows(spark, np.array([[0.0] * 4, [8.0] * 4]), [5, 5])
+        found = kmeans.with_cluster(same, far.table).collect()
+    finally:
+        spark.conf.unset(sizing.BROADCAST_BYTES)
+    want = {r.cluster: r.vec for r in near.centroids().collect()}
+    assert len(far.inertia) == len(near.inertia)
+    for k in want:
+        np.testing.assert_allclose(got[k], want[k], rtol=1e-5, atol=1e-6)
+    # rows that share an id have their own clusters
+    assert len(found) == 2 and len({r.cluster for r in found}) == 2

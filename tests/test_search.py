@@ -4,6 +4,7 @@ import pytest
 import data
 from nearfield.operators import knn, shape
 from nearfield.plans import sizing
+from nearfield.plans.pairs import PairScorer
 from nearfield.sources.table import VectorTable
 
 BASIS4 = np.eye(4)
@@ -153,3 +154,37 @@ def test_small_queries_scan_the_corpus_in_place(spark):
         spark.conf.unset(sizing.BROADCAST_BYTES)
     assert "WindowGroupLimit" in plan and "Join" not in plan
     assert plan.count("Exchange hashpartitioning(qid") == 1
+
+
+def test_padded_results_are_reranked_alike_on_both_plans(spark):
+    x = data.blobs(20, 4, 2)
+    table, q = data.points(spark, x), data.queries(spark, x[:2])
+    found = shape.pad_results(knn.knn_join(q, data.points(spark, x[:3]), 3), q, 6)
+    want = None
+    for limit in (None, "100"):
+        if limit:
+            spark.conf.set(sizing.BROADCAST_BYTES, limit)
+        try:
+            got = sorted((r.qid, r.id, round(r.distance, 9)) for r in PairScorer(q, table)(found).collect())
+        finally:
+            spark.conf.unset(sizing.BROADCAST_BYTES)
+        assert len(got) == 6 and all(i in (0, 1, 2) for _, i, _ in got)
+        want = want or got
+        assert got == want
+
+
+@pytest.mark.parametrize("limit", [None, "100"])
+def test_bad_queries_fail_on_every_plan(spark, limit):
+    table = data.points(spark, data.blobs(30, 3, 2))
+    if limit:
+        spark.conf.set(sizing.BROADCAST_BYTES, limit)
+    try:
+        for bad in ([float("nan"), 0.0, 0.0], [float("inf"), 0.0, 0.0], [1.0, 2.0], None, [None, 1.0, 2.0]):
+            q = spark.createDataFrame([(0, [1.0, 2.0, 3.0]), (7, bad)], "qid long, vec array<float>")
+            with pytest.raises(Exception, match="vector 7 rejected"):
+                knn.knn_join(q, table, 2).collect()
+    finally:
+        spark.conf.unset(sizing.BROADCAST_BYTES)
+    q = spark.createDataFrame([(3.5, [1.0, 2.0, 3.0])], "qid double, vec array<float>")
+    with pytest.raises(Exception, match="3.5 rejected: non_integer_id"):
+        knn.as_queries(q).collect()

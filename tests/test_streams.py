@@ -8,10 +8,10 @@ from nearfield.plans import sizing
 from nearfield.streaming import jobs
 
 
-def stream(spark, folder):
+def stream(spark, folder, files=1):
     return (
         spark.readStream.schema("id long, vec array<float>")
-        .option("maxFilesPerTrigger", 1)
+        .option("maxFilesPerTrigger", files)
         .parquet(str(folder))
     )
 
@@ -31,15 +31,48 @@ def test_append_counts_every_row_once(spark, tmp_path):
     bad = spark.createDataFrame([(999, [1.0])], "id long, vec array<float>")
     bad.write.mode("append").parquet(str(tmp_path / "in"))
     out = str(tmp_path / "out")
-    run(jobs.stream_append(stream(spark, tmp_path / "in"), out, 8, f"{out}-log"))
+    run(jobs.stream_append(stream(spark, tmp_path / "in"), out, 8, f"{out}-log", "a"))
     assert jobs.appended(spark, out, 8).df.count() == 200
     assert [r.id for r in spark.read.parquet(f"{out}/rejects").collect()] == [999]
-    # a second run has nothing new; a replay from the start rewrites the same folders
-    run(jobs.stream_append(stream(spark, tmp_path / "in"), out, 8, f"{out}-log"))
+    # a second run has nothing new
+    run(jobs.stream_append(stream(spark, tmp_path / "in"), out, 8, f"{out}-log", "a"))
     assert jobs.appended(spark, out, 8).df.count() == 200
-    run(jobs.stream_append(stream(spark, tmp_path / "in"), out, 8, f"{out}-log2"))
-    assert jobs.appended(spark, out, 8).df.select("id").distinct().count() == 200
+    # a replay, cut into other batches, replaces the first run
+    whole = stream(spark, tmp_path / "in", files=100)
+    run(jobs.stream_append(whole, out, 8, f"{out}-log2", "a", replace=True))
     assert jobs.appended(spark, out, 8).df.count() == 200
+    assert jobs.appended(spark, out, 8).df.select("id").distinct().count() == 200
+    assert spark.read.parquet(f"{out}/rejects").count() == 1
+
+
+def test_writers_never_meet(spark, tmp_path):
+    x = np.eye(8)
+    out = str(tmp_path / "out")
+    for name in ("left", "right"):
+        data.rows(spark, x, [len(name) * 100 + i for i in range(8)]).write.parquet(str(tmp_path / name))
+        rows = stream(spark, tmp_path / name)
+        run(jobs.stream_append(rows, out, 8, f"{out}-{name}", name))
+    assert jobs.appended(spark, out, 8).df.count() == 16
+    # the same writer with a new checkpoint and other rows: nothing is lost
+    data.rows(spark, x, list(range(8))).write.parquet(str(tmp_path / "more"))
+    run(jobs.stream_append(stream(spark, tmp_path / "more"), out, 8, f"{out}-more", "left"))
+    assert jobs.appended(spark, out, 8).df.select("id").distinct().count() == 24
+    # a replay of one writer leaves the other alone
+    again = stream(spark, tmp_path / "more")
+    run(jobs.stream_append(again, out, 8, f"{out}-again", "left", replace=True))
+    ids = {r.id for r in jobs.appended(spark, out, 8).df.collect()}
+    assert ids == set(range(8)) | {500 + i for i in range(8)}
+    with pytest.raises(ValueError, match="writer's name"):
+        jobs.stream_append(again, out, 8, f"{out}-x", "a/b")
+
+
+def test_bad_query_fails_the_stream(spark, tmp_path):
+    data.rows(spark, np.array([[np.nan] * 6]), [3]).write.parquet(str(tmp_path / "in"))
+    queries = stream(spark, tmp_path / "in").withColumnRenamed("id", "qid")
+    table = data.points(spark, data.blobs(20, 6, 2))
+    out = str(tmp_path / "out")
+    with pytest.raises(Exception, match="vector 3 rejected: non_finite"):
+        run(jobs.stream_search(queries, table, 2, out, f"{out}-log", "q"))
 
 
 def test_search_equals_batch(spark, tmp_path):
@@ -48,7 +81,7 @@ def test_search_equals_batch(spark, tmp_path):
     table = data.points(spark, x)
     out = str(tmp_path / "out")
     queries = stream(spark, tmp_path / "in").withColumnRenamed("id", "qid")
-    run(jobs.stream_search(queries, table, 4, out, f"{out}-log"))
+    run(jobs.stream_search(queries, table, 4, out, f"{out}-log", "q"))
     data.same(data.collected(spark.read.parquet(out)), data.brute_force(x, x, 4))
 
 
@@ -80,7 +113,7 @@ def test_assign_with_a_model_beyond_the_broadcast_limit(spark, tmp_path):
     try:
         with pytest.raises(ValueError, match="broadcast limit"):
             jobs.stream_assign(rows, model)
-        run(jobs.stream_assign_batches(rows, model, out, f"{out}-log"))
+        run(jobs.stream_assign_batches(rows, model, out, f"{out}-log", "w"))
     finally:
         spark.conf.unset(sizing.BROADCAST_BYTES)
     assert {r.id: r.cluster for r in spark.read.parquet(out).collect()} == want
@@ -93,7 +126,7 @@ def test_concurrent_appends_add_up(spark, tmp_path):
 
     def work(n):
         rows = data.rows(spark, np.eye(8).repeat(7, 0)[:50], list(range(50 * n, 50 * n + 50)))
-        jobs.append_batch(rows, path, 8, f"writer{n}")
+        jobs.append_batch(rows, jobs.Writer(path, f"writer{n}", "log"), 8, 0)
 
     threads = [Thread(target=work, args=(n,)) for n in range(4)]
     for t in threads:

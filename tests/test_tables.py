@@ -218,3 +218,27 @@ def test_zero_vectors_are_reported(spark):
     good, rejects = knn.l2_normalize(data.rows(spark, [(3, 4), (0, 0)]))
     np.testing.assert_allclose(good.first().vec, [0.6, 0.8], atol=1e-7)
     assert [(r.id, r.reason) for r in rejects.collect()] == [(1, "zero_norm")]
+
+
+def test_ids_must_be_whole_and_elements_fit(spark):
+    rows = [(1.0, [1.0]), (3.5, [1.0]), (3.2, [1.0]), (2.0, [1e39]), (float("nan"), [1.0]), (None, [1.0])]
+    df = spark.createDataFrame(rows, "id double, vec array<double>")
+    good, bad = table.validate_vectors(df, 1)
+    assert [r.id for r in good.collect()] == [1.0]
+    assert sorted(r.reason for r in bad.collect()) == ["non_finite"] + 3 * ["non_integer_id"] + ["null_id"]
+    with pytest.raises(Exception, match="3.5 rejected: non_integer_id"):
+        table.vector_table(df.filter("id = 3.5"), dim=1).df.collect()
+    with pytest.raises(Exception, match="non_finite"):
+        table.vector_table(df.filter("id = 2"), dim=1).df.collect()
+
+
+def test_exact_copies_are_numbered_in_many_partitions(spark):
+    df = spark.createDataFrame([(1.0,)] * 5000, "x double").repartition(8)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        numbered, n = table.number_rows(df, "x")
+        parts = numbered.groupBy(F.spark_partition_id()).count().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert n == 5000 and sorted(r.id for r in numbered.collect()) == list(range(5000))
+    assert parts > 2
