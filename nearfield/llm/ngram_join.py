@@ -593,6 +593,33 @@ def one_of_each(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
     return rows.filter(F.col(found) | (F.col(row) == 1)).select(*own)
 
 
-@query()
+SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE
+      WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+    FROM texts)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * i >= 85 * (x.n + y.n - i)),
+reached(doc_id, r) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT links.b, reached.r FROM reached JOIN links ON links.a = reached.doc_id)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS component_id
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+
+@query(SQL)
 def op1_ngram_join(spark, sf_dir):
     return ngram_join(documents(spark, sf_dir))

@@ -182,7 +182,40 @@ def quality_filter(docs: DataFrame, text: str = "text", rules: Sequence[Rule] =
     return filtered(df, F.col(names["kept"])).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
-@query()
+def _rule_sql(rule: Rule) -> str:
+    value = f"{rule.measure} / {rule.per}" if rule.per else rule.measure
+    bounds = [f"{value} >= {rule.least}"] if rule.least is not None else []
+    bounds += [f"{value} <= {rule.most}"] if rule.most is not None else []
+    return " AND ".join(f"coalesce({x}, false)" for x in bounds)
+
+
+SQL = rf"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '{GAP}+'), lambda x: x <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents),
+windows AS (
+  SELECT doc_id, unnest(list_transform(range(1, len(w) - {WINDOW - 2}),
+    lambda i: {{'i': i, 's': array_to_string(w[i:i + {WINDOW - 1}], ' ')}}), recursive := true) FROM texts),
+again AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n
+  FROM (SELECT doc_id, unnest(range(i, i + {WINDOW})) AS p FROM again) GROUP BY doc_id),
+measured AS (
+  SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    len(regexp_extract_all(t, '{SYMBOLS}')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines,
+    len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_letter_words,
+    len(list_filter(w, lambda x: list_contains({[f for x in STOP_WORDS for f in dict.fromkeys((x, x.capitalize(), x.upper()))]}, x))) AS n_stop_words,
+    len(list_distinct(w)) AS n_unique_words, len(regexp_extract_all(t, '\p{{Lu}}')) AS n_capitals,
+    len(l) AS n_lines, coalesce(n, 0) AS n_repeat_words
+  FROM texts LEFT JOIN covered USING (doc_id)),
+failed AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured)
+SELECT *, NOT base_failed AND {" AND ".join(map(_rule_sql, RULES))} AS kept FROM failed
+"""
+
+
+@query(SQL)
 def op4_quality_rules(spark, sf_dir):
     df, _ = judged(documents(spark, sf_dir).select("doc_id", "text"))
     return df.drop("text")

@@ -66,6 +66,9 @@ def cut(doc: str, spaces_only: bool) -> list[str]:
     return doc.split("\x01")
 
 
+LATIN_WORD = re.compile(" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+").fullmatch
+
+
 class _Memory(dict):
     """Gives each new piece the next number."""
 
@@ -149,12 +152,51 @@ class WordIds(PieceMemory):
         self.tokenizer = Tokenizer.from_file(path)
         super().__init__(self._library, most)
 
+        self.spelled = self._spelling()
+
+    def _spelling(self) -> Callable[[str], str] | None:
+        """How the model wants to see a word of Latin letters, if words reach it whole."""
+        stand_in = _stand_ins()
+
+        def plain(word: str) -> str:
+            return word.encode().decode("latin-1").translate(stand_in)
+
+        def folded(word: str) -> str:
+            return plain(word.strip(" ").lower())
+
+        probes = ["a", " a", "Word", " wOrd", "\xe9t\xe9", " \xc9t\xe9\xff", " \xdf", "s", " s", "antidisestablishment"]
+        want = [self.tokenizer.encode(x, add_special_tokens=False).ids for x in probes]
+        for spelled in (plain, folded):
+            if [[t.id for t in self.tokenizer.model.tokenize(spelled(x))] for x in probes] == want:
+                return spelled
+        return None
+
     def _library(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        """Words of Latin letters go straight to the library's model, all else through all of it."""
+        got: list = [None] * len(pieces)
+        rest = range(len(pieces))
+        if self.spelled:
+            spelled, merged, other = self.spelled, self.tokenizer.model.tokenize, []
+            for i, piece in enumerate(pieces):
+                if LATIN_WORD(piece):
+                    got[i] = [t.id for t in merged(spelled(piece))]
+                else:
+                    other.append(i)
+            rest = other
+        found = self.tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)
+        for i, e in zip(rest, found, strict=True):
+            got[i] = e.ids
         size = np.fromiter(map(len, got), np.int64, len(got))
         return np.fromiter(chain.from_iterable(got), np.uint32, int(size.sum())), size
 
 
+def _stand_ins() -> dict[int, str]:
+    """The printable character that stands for each byte in byte-level vocabularies."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = (b for b in range(256) if b not in shown)
+    return {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 _OPEN: dict[str, WordIds] = {}
 
 
