@@ -11,9 +11,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nearfield.functions import kernels
 from nearfield.functions.kernels import Flat, TopK, matrix
 from nearfield.operators.kmeans import KMeansModel, kmeans_train, with_cluster
-from nearfield.operators.knn import knn_join
+from nearfield.operators.knn import knn_join, numbered, own_ids
 from nearfield.plans import scan, sizing, tiles
 from nearfield.sources.table import (
     VectorTable,
@@ -149,18 +150,22 @@ def ivf_search(index: IvfIndex, queries: DataFrame, k: int, nprobe: int = 1) ->
 
     With few queries only the probed lists are scanned, in place. With many,
     both sides are shuffled on the list and long lists are cut into tiles.
+    Queries that share an id are each answered on their own.
     """
     check_positive("k", k)
     rows = index.require_rows()
     spark, dim = rows.sparkSession, index.dim
     nprobe = min(check_positive("nprobe", nprobe), index.nlist)
-    probes = ivf_probes(index, queries, nprobe)
-    small = sizing.small_matrix(queries, "qid", dim)
+    small = sizing.small_matrix(queries, "qid", dim, k=k)
     if small is not None and sizing.fits(spark, len(small[0]) * nprobe, 2):
-        return _scan_lists(index, small, probes, k)
-    visits = probes.withColumnRenamed("list_id", "cell")
+        small, back = numbered(spark, small)
+        vectors = pa.table({"qid": pa.array(small[0]), "vec": kernels.vectors(small[1])})
+        few = spark.createDataFrame(vectors, "qid long, vec array<float>")
+        return back(_scan_lists(index, small, ivf_probes(index, few, nprobe), k))
+    queries, back = own_ids(queries)
+    visits = ivf_probes(index, queries, nprobe).withColumnRenamed("list_id", "cell")
     cells = rows.select(F.col("list_id").alias("cell"), "id", *index.decode.columns)
-    return tiles.tile_topk(visits, cells, k, index.metric, index.decode, dim, index.nlist)
+    return back(tiles.tile_topk(visits, cells, k, index.metric, index.decode, dim, index.nlist))
 
 
 def _scan_lists(index: IvfIndex, queries, probes: DataFrame, k: int) -> DataFrame:

@@ -7,7 +7,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nearfield.functions import expr
@@ -42,7 +42,8 @@ def knn_join(
     join map-only, small queries make it one scan with a merge of short lists.
     Two large sides are routed through regions of the table and shuffled.
     A query of another size, or with a missing, NaN or infinite element, fails
-    the job, as a bad row of the table does.
+    the job, as a bad row of the table does. Queries that share an id are each
+    answered on their own.
     """
     check_positive("k", k)
     metric = check_metric(metric or table.metric)
@@ -52,10 +53,36 @@ def knn_join(
     corpus = sizing.small_matrix(table.df, "id", dim, rows)
     if corpus is not None:
         return scan.over_queries(queries, corpus, k, metric, dim)
-    small = sizing.small_matrix(queries, "qid", dim, query_rows)
+    small = sizing.small_matrix(queries, "qid", dim, query_rows, k)
     if small is not None:
-        return scan.over_corpus(table.df, small, k, metric, Flat(dim))
-    return _routed(queries, table, k, metric, rows)
+        small, back = numbered(queries.sparkSession, small)
+        return back(scan.over_corpus(table.df, small, k, metric, Flat(dim)))
+    queries, back = own_ids(queries)
+    return back(_routed(queries, table, k, metric, rows))
+
+
+def numbered(spark: SparkSession, queries):
+    """Collected ``(qids, vectors)`` with an id of its own for each, and how results get theirs back."""
+    qids, mat = queries
+    if len(np.unique(qids)) == len(qids):
+        return queries, lambda found: found
+    rows = pa.table({"_at": pa.array(np.arange(len(qids))), "_qid": pa.array(qids)})
+    names = spark.createDataFrame(rows, "_at long, _qid long")
+    return (np.arange(len(qids)), mat), lambda found: _renamed(found, F.broadcast(names))
+
+
+def own_ids(queries: DataFrame):
+    """The same for a table of queries; one whose ids are all different stays as it is."""
+    if queries.groupBy("qid").count().filter(F.col("count") > 1).isEmpty():
+        return queries, lambda found: found
+    keyed = sizing.cut_lineage(queries.withColumn("_at", F.monotonically_increasing_id()))
+    names = keyed.select("_at", F.col("qid").alias("_qid"))
+    return keyed.select(F.col("_at").alias("qid"), "vec"), lambda found: _renamed(found, names)
+
+
+def _renamed(found: DataFrame, names: DataFrame) -> DataFrame:
+    named = found.join(names, F.col("qid") == F.col("_at")).withColumn("qid", F.col("_qid"))
+    return named.select(*found.columns)
 
 
 def _routed(queries: DataFrame, table: VectorTable, k: int, metric: str, rows: int):

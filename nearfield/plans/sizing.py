@@ -25,9 +25,9 @@ def tile_rows(spark: SparkSession, dim: int) -> int:
     return max(1, int(spark.conf.get(TILE_BYTES, str(32 << 20))) // (4 * dim))
 
 
-def fits(spark: SparkSession, rows: int, dim: int) -> bool:
-    """Whether ``rows`` vectors plus their ids stay within the broadcast limit."""
-    return rows * (4 * dim + 8) <= broadcast_bytes(spark)
+def fits(spark: SparkSession, rows: int, dim: int, k: int = 0) -> bool:
+    """Whether ``rows`` vectors, their ids and ``k`` results for each stay within the broadcast limit."""
+    return rows * (4 * dim + 8 + 16 * k) <= broadcast_bytes(spark)
 
 
 def merge_width(spark: SparkSession) -> int:
@@ -39,19 +39,20 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def small_matrix(df: DataFrame, key: str, dim: int, rows: int | None = None):
+def small_matrix(df: DataFrame, key: str, dim: int, rows: int | None = None, k: int = 0):
     """``(keys, vectors)`` of a table that fits the broadcast limit, else None.
 
     The table is counted first unless its row count is known, so a large one
-    never reaches the driver.
+    never reaches the driver. Tasks that hold ``k`` results per row need room
+    for these too.
     """
     spark = df.sparkSession
     if rows is None:
         rows = df.count()
-    if not fits(spark, rows, dim):
+    if not fits(spark, rows, dim, k):
         return None
     table = df.select(F.col(key).cast("long"), "vec").toArrow()
-    if not fits(spark, table.num_rows, dim):
+    if not fits(spark, table.num_rows, dim, k):
         raise ValueError("table grew past the broadcast limit while it was read")
     vec = table.column("vec").combine_chunks()
     mat = doubles(vec, dim) if vec.type.value_type == "double" else kernels.matrix(vec, dim)

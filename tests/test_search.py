@@ -1,6 +1,8 @@
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 import data
 from nearfield.operators import knn, shape
 from nearfield.plans import sizing
@@ -188,3 +190,24 @@ def test_bad_queries_fail_on_every_plan(spark, limit):
     q = spark.createDataFrame([(3.5, [1.0, 2.0, 3.0])], "qid double, vec array<float>")
     with pytest.raises(Exception, match="3.5 rejected: non_integer_id"):
         knn.as_queries(q).collect()
+
+
+@pytest.mark.parametrize("limit", [None, "900", "100"])
+def test_queries_that_share_an_id(spark, limit):
+    from nearfield.operators import ivf
+
+    x = data.blobs(60, 4, 3)
+    table = data.points(spark, x)
+    index = ivf.ivf_build(table, nlist=3)
+    q = data.queries(spark, x[:3]).withColumn("qid", F.when(F.col("qid") < 2, 7).otherwise(F.col("qid")).cast("long"))
+    alone = [data.brute_force(x[i : i + 1], x, 2)[0] for i in range(3)]
+    want = sorted([(7, *p) for i in (0, 1) for p in alone[i]] + [(2, *p) for p in alone[2]])
+    if limit:
+        spark.conf.set(sizing.BROADCAST_BYTES, limit)
+    try:
+        for found in (knn.knn_join(q, table, 2), ivf.ivf_search(index, q, 2, nprobe=3)):
+            got = sorted((r.qid, r.id, r.distance) for r in found.collect())
+            assert [g[:2] for g in got] == [w[:2] for w in want]
+            np.testing.assert_allclose([g[2] for g in got], [w[2] for w in want], atol=1e-5)
+    finally:
+        spark.conf.unset(sizing.BROADCAST_BYTES)
