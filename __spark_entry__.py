@@ -940,7 +940,7 @@ def save_and_load_graph(spark, sf_dir):
 @_query()
 def graph_search(spark, sf_dir):
     points = _stretched(spark, sf_dir)
-    built = graph.graph_build(points, 16)
+    built = graph.graph_build(points, 16, "exact")
     return _rounded(graph.graph_search(built, knn.as_queries(points.df, "id"), 10))
 
 
