@@ -234,10 +234,10 @@ def vector_table(spark, sf_dir):
     return _elements(_embeddings(spark, sf_dir).df, "id")
 
 
-@_query("""SELECT CAST(s_suppkey AS BIGINT) AS id, CAST(s_acctbal AS FLOAT) AS balance, 'supplier' AS kind
-FROM supplier UNION ALL
+@_query("""SELECT CAST(s_suppkey AS BIGINT) AS id, CAST(s_acctbal AS FLOAT) AS balance,
+  CAST(s_nationkey AS FLOAT) AS nation, 'supplier' AS kind FROM supplier UNION ALL
 SELECT (SELECT max(s_suppkey) + 1 FROM supplier) + row_number() OVER (ORDER BY c_acctbal, c_custkey) - 1,
-  CAST(c_acctbal AS FLOAT), 'customer' FROM customer""")
+  CAST(c_acctbal AS FLOAT), CAST(c_nationkey AS FLOAT), 'customer' FROM customer""")
 def append_sequential(spark, sf_dir):
     supplier = _read(spark, sf_dir, "supplier").withColumn(
         "vec", F.array("s_acctbal", F.col("s_nationkey").cast("double"))
@@ -254,7 +254,8 @@ def append_sequential(spark, sf_dir):
     )
     start = table.VectorTable(start.df, 2, "l2", taken)
     both = table.append_sequential(start, customer, ["c_acctbal", "c_custkey"])
-    return both.df.select("id", F.col("vec")[0].alias("balance"), "kind")
+    vec = F.col("vec")
+    return both.df.select("id", vec[0].alias("balance"), vec[1].alias("nation"), "kind")
 
 
 @_query("""SELECT c_custkey AS id, CAST(c_acctbal AS FLOAT) AS balance FROM customer
@@ -596,7 +597,9 @@ def reconstruct_range(spark, sf_dir):
 @_query(f"""WITH {CUSTOMERS}
 SELECT o_orderkey AS pos, o_custkey AS id,
   round(CAST(CAST(o_totalprice / 1000 AS FLOAT) - vec[1] AS DOUBLE), 6) + 0.0 AS first,
-  round(CAST(CAST(2 AS FLOAT) - vec[2] AS DOUBLE), 6) + 0.0 AS second
+  round(CAST(CAST(2 AS FLOAT) - vec[2] AS DOUBLE), 6) + 0.0 AS second,
+  round(CAST(CAST(o_totalprice / 1000 AS FLOAT) - vec[3] AS DOUBLE), 6) + 0.0 AS third,
+  round(CAST(CAST(o_totalprice / 1000 AS FLOAT) - vec[4] AS DOUBLE), 6) + 0.0 AS fourth
 FROM orders JOIN customers ON o_custkey = id""")
 def residuals(spark, sf_dir):
     price = F.col("o_totalprice") / 1000
@@ -608,7 +611,7 @@ def residuals(spark, sf_dir):
     out = lookup.residuals(_customers(spark, sf_dir), xs)
     rounded = [
         F.round(F.col("residual")[i].cast("double"), 6).alias(n)
-        for i, n in enumerate(("first", "second"))
+        for i, n in enumerate(("first", "second", "third", "fourth"))
     ]
     return out.select("pos", "id", *rounded)
 
@@ -957,13 +960,12 @@ def _stream(spark, sf_dir) -> DataFrame:
     )
 
 
-@_query("SELECT vec_id AS id, len(embedding) AS dim FROM embeddings")
+@_query(_elements_sql("(SELECT vec_id AS id, embedding AS vec FROM embeddings)", "id"))
 def stream_append(spark, sf_dir):
     path = sizing.new_path(spark)
     job = jobs.stream_append(_stream(spark, sf_dir), path, DIM, f"{path}/log", "embeddings")
     job.trigger(availableNow=True).start().awaitTermination()
-    rows = jobs.appended(spark, path, DIM).df
-    return rows.select("id", F.size("vec").cast("long").alias("dim"))
+    return _elements(jobs.appended(spark, path, DIM).df, "id")
 
 
 @_query(_elements_sql("""(SELECT vec_id AS id, embedding AS vec FROM embeddings
