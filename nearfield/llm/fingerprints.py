@@ -100,7 +100,8 @@ def neighbours(docs: DataFrame) -> DataFrame:
         keys.select("*", F.lead(place).over(within).alias("next"), F.lag(place).over(within).alias("last"))
         .join(F.broadcast(ends), "part")
         .select(
-            F.col("doc_id").alias("place_id"),
+            "doc_id",
+            F.xxhash64("doc_id").alias("place"),
             F.col("content").alias("place_content"),
             F.coalesce("next", "head").alias("next"),
             F.coalesce("last", "tail").alias("last"),
@@ -119,18 +120,20 @@ def fingerprints(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
     )
     order = stored(neighbours(rows.select("doc_id", "content", F.length("text").alias("n_chars"))))
 
-    here = F.col("doc_id").eqNullSafe(F.col("place_id")) & (F.col("content") == F.col("place_content"))
-    rows = rows.withColumn("anchors", anchors(F.col("text")))
-    rows = rows.join(order, here).drop("place_id", "place_content")
+    # both joins and the grouping between them are on these two, and the id comes with the place:
+    # so both uses of the texts need the same columns, and one shuffle serves them
+    here = (F.col("key") == F.col("place")) & (F.col("content") == F.col("place_content"))
+    rows = rows.select(F.xxhash64("doc_id").alias("key"), "content", "text", anchors(F.col("text")).alias("anchors"))
+    rows = rows.join(order, here).drop("place", "place_content")
     # what the document before needs from this one: the start of its text, and its anchors
     given = (
         rows.select(
-            F.col("last.doc_id").alias("place_id"),
+            F.xxhash64("last.doc_id").alias("place"),
             F.col("last.content").alias("place_content"),
             F.expr("substring(text, 1, CAST(floor(last.n_chars / 4) AS INT))").alias("start"),
             F.col("anchors").alias("next_anchors"),
         )
-        .groupBy("place_id", "place_content")
+        .groupBy("place", "place_content")
         .agg(F.first("start").alias("start"), F.first("next_anchors").alias("next_anchors"))
     )
     rows = rows.join(given, here, "left")
