@@ -5,8 +5,9 @@ A text is read in units: words, or pieces of ``UNIT`` characters of longer ones.
 is an anchor if the least of them lies at its first or last place. Whether a k-mer is an anchor
 depends on its own units alone, so two texts that share a passage share its anchors wherever it
 stands. A fingerprint lists the anchors in text order, eight hexadecimal digits each; likeness is the
-share of common ones among all anchors of both. Short texts also give anchors of a finer scale; a
-text without any anchor has the hash of all its units as its only one.
+share of common ones among all anchors of both. Texts of every length have the same one scale, so a
+small edit changes few anchors whatever the number of units; a text without any anchor has the hash
+of all its units as its only one.
 
 Null text reads as empty: an empty fingerprint, alike to another empty one (1) and to nothing else
 (0). In the order of documents null ids come first, and rows with the same id and text share one
@@ -21,9 +22,8 @@ from pyspark.sql import functions as F
 from nearfield.llm.common import bind, documents, query, stored
 
 UNIT = 16
-COARSE, FINE = (8, 2), (3, 1)
-#: Texts of fewer units also have anchors of the finer scale.
-SHORT = 128
+#: Units of a k-mer and of its s-mers.
+SCALE = (3, 1)
 
 
 def _syncmers(h: Column, k: int, s: int) -> Column:
@@ -54,10 +54,9 @@ def anchors(text: Column) -> Column:
     none = F.array().cast("array<int>")
 
     def of(h):
-        fine = F.when(F.size(h) < SHORT, _syncmers(h, *FINE)).otherwise(none)
         whole = F.array(F.shiftright(F.xxhash64(h), 32).cast("int"))
         return bind(
-            F.array_distinct(F.concat(_syncmers(h, *COARSE), fine)),
+            F.array_distinct(_syncmers(h, *SCALE)),
             lambda a: F.when(F.size(a) > 0, a).when(F.size(h) > 0, whole).otherwise(none),
         )
 

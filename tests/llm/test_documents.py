@@ -192,6 +192,15 @@ def test_closed_syncmers(spark):
     assert len(got) == len(chosen) < 193
 
 
+def test_one_word_more_keeps_a_fingerprint(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(n, " ".join(f"w{n}x{i}" for i in range(n))) for n in (20, 126, 127, 128, 400)]
+    df = spark.createDataFrame(rows, "n long, t string").withColumn("more", F.concat("t", F.lit(" more")))
+    near_ = fingerprints.likeness(fingerprints.anchors(F.col("t")), fingerprints.anchors(F.col("more")))
+    assert min(r.near_ for r in df.select(near_.alias("near_")).collect()) > 0.9
+
+
 def test_fingerprints_of_strained_texts(spark, strained):
     rows = fingerprints.fingerprints(strained).collect()
     assert len(rows) == strained.count()
