@@ -6,8 +6,12 @@ round a view labels those unlabelled documents that it is surest of, and the oth
 them. A held-out fold of the labelled documents then calibrates each view, and the calibrated log odds
 add up (less the prior, which both contain) to the score of every document.
 
-Training uses samples chosen by a hash of the id: at most about ``MOST_LABELLED`` labelled and
-``MOST_POOL`` unlabelled documents, so it doesn't grow with the corpus; all documents are scored whole.
+Training learns from about ``MOST_LABELLED`` labelled documents, chosen by a hash of the id. Each class
+of each fold has the same share of these, and one with fewer is taken whole; what that shifts is weighed
+back in the calibration and the prior. Both views look at all unlabelled documents in every round, in a
+pass of their own of which the ``CONFIDENT`` surest remain, copies counting once. All documents are
+scored whole.
+
 A document with several labels has the lowest; null labels count as none. Without labels of both
 kinds in both folds there is no model: scores are null and all documents are kept. Text that is null
 or has no word scores 0 and is not kept. Repeated rows are scored alike.
@@ -21,16 +25,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nearfield.llm.common import documents, pieces, query
+from nearfield.llm.common import documents, pieces, query, stored
+from nearfield.plans import sizing
 
-MOST_LABELLED, MOST_POOL = 8000, 8000
+MOST_LABELLED = 8000
 ROUNDS, CONFIDENT, SURE = 3, 400, 0.95
 TRIGRAMS, RATIOS = 1024, 7
 LANGUAGES, SOURCES = 16, 64
 PIECE_BYTES, PIECE_ROWS = 1 << 20, 256
+#: Lists of the tasks' surest documents are merged in so many groups first.
+LISTS = 32
 
 # --------------------------------------------------------------------- views
 
@@ -104,20 +111,20 @@ def odds(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return x @ weights[:-1] + weights[-1]
 
 
-def platt(logit: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def platt(logit: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Slope and intercept that calibrate log odds, by damped Newton steps; the slope is not negative."""
     scale = float(logit.std()) + 1e-9
     x = np.stack([logit / scale, np.ones(len(logit))], axis=1)
     w = np.zeros(2)
     for _ in range(200):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (p - y) + 0.1 * w
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2), g)
+        g = x.T @ (weight * (p - y)) + 0.1 * w
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2), g)
         w = w - np.clip(step, -0.5, 0.5)
         if np.abs(step).max() < 1e-9:
             break
     if w[0] < 0:
-        mean = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+        mean = np.clip(np.average(y, weights=weight), 1e-3, 1 - 1e-3)
         return 0.0, float(np.log(mean / (1 - mean)))
     return float(w[0] / scale), float(w[1])
 
@@ -137,30 +144,52 @@ class Model:
         return p[0], p[1], p[2]
 
 
-def cotrain(views, y, fold, pool, rounds=ROUNDS, confident=CONFIDENT) -> Model | None:
-    """``views`` and ``pool`` hold the features of both views; ``fold`` marks the calibration fold."""
-    learn = ~fold
-    if min(((y == k) & f).sum() for k in (0, 1) for f in (learn, fold)) == 0:
-        return None
-    own = [x[learn] for x in views]
-    sets = [(own[0], y[learn]), (own[1], y[learn])]
+def chance(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(odds(x, weights), -30, 30)))
+
+
+def held(pool):
+    """The surest of a pool in memory, see ``cotrain``."""
     free = [np.ones(len(pool[0]), bool), np.ones(len(pool[1]), bool)]
-    share = y[learn].mean()
-    for _ in range(rounds):
-        weights = [logistic(*s) for s in sets]
+
+    def surest(weights, most):
+        out = []
         for k in (0, 1):
-            other = 1 - k
-            p = 1 / (1 + np.exp(-np.clip(odds(pool[k], weights[k]), -30, 30)))
-            for label, sure, most in ((1, p, int(confident * share)), (0, 1 - p, int(confident * (1 - share)))):
+            other, p = 1 - k, chance(pool[k], weights[k])
+            for label, sure in ((1, p), (0, 1 - p)):
                 ranked = np.flatnonzero(free[other] & (sure >= SURE))
-                chosen = ranked[np.argsort(-sure[ranked], kind="stable")[: max(1, most)]]
+                chosen = ranked[np.argsort(-sure[ranked], kind="stable")[: most[label]]]
                 free[other][chosen] = False
-                x, have = sets[other]
-                sets[other] = np.concatenate([x, pool[other][chosen]]), np.append(have, np.full(len(chosen), label))
+                out.append((other, label, pool[other][chosen]))
+        return out
+
+    return surest
+
+
+def cotrain(views, y, fold, pool, rounds=ROUNDS, confident=CONFIDENT, weight=None) -> Model | None:
+    """``views`` hold the features of both views; ``fold`` marks the calibration fold.
+
+    ``weight`` says how many labelled documents a row stands for. ``pool`` holds the features of
+    unlabelled documents, or is a function of the weights of both views and of the most by label: it
+    gives ``(other, label, features)``, what a view is surest of, for the other to learn, each once.
+    """
+    learn = ~fold
+    if min(((y == k) & f).sum() for k in (0, 1) for f in (learn, fold)) == 0:
+        return None
+    surest = pool if callable(pool) else held(pool)
+    weight = np.ones(len(y)) if weight is None else weight
+    sets = [(x[learn], y[learn]) for x in views]
+    share = np.average(y[learn], weights=weight[learn])
+    most = {1: max(1, int(confident * share)), 0: max(1, int(confident * (1 - share)))}
+    for _ in range(rounds):
+        for other, label, found in surest([logistic(*s) for s in sets], most):
+            x, have = sets[other]
+            sets[other] = np.concatenate([x, found]), np.append(have, np.full(len(found), label))
     weights = tuple(logistic(*s) for s in sets)
-    calibration = tuple(platt(odds(x[fold], w), y[fold]) for x, w in zip(views, weights, strict=True))
-    held = np.clip(y[fold].mean(), 1e-3, 1 - 1e-3)
-    return Model(weights, calibration, float(np.log(held / (1 - held))))
+    each = weight[fold] / weight[fold].mean()
+    calibration = tuple(platt(odds(x[fold], w), y[fold], each) for x, w in zip(views, weights, strict=True))
+    known = np.clip(np.average(y[fold], weights=each), 1e-3, 1 - 1e-3)
+    return Model(weights, calibration, float(np.log(known / (1 - known))))
 
 
 # -------------------------------------------------------------------- tables
@@ -192,28 +221,112 @@ def _both(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return text_view(raw), metadata_view(*known)
 
 
-def _share(df: DataFrame, most: int):
-    """Keeps about ``most`` rows, by a hash of the id."""
-    n = df.count()
-    return df if n <= most else df.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(most / n * (1 << 30)))
+def _share(labels: DataFrame, most: int) -> DataFrame:
+    """``doc_id, label, weight`` of about ``most`` rows by a hash of the id, alike of each class and fold."""
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    rows = labels.withColumn("fold", fold).withColumn("good", F.col("label") > 0)
+    groups = sorted(rows.groupBy("good", "fold").count().collect(), key=lambda r: r["count"])
+    kept, weight = F.lit(False), F.lit(1.0)
+    for i, (good, in_fold, n) in enumerate(groups):
+        some = min(n, most // (len(groups) - i))
+        most -= some
+        of = (F.col("good") == good) & (F.col("fold") == in_fold)
+        kept = kept | (of & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < -(-(some << 30) // n)))
+        weight = F.when(of, F.lit(n / some)).otherwise(weight)
+    return rows.filter(kept).select("doc_id", "label", weight.alias("weight"))
+
+
+def _top(sure: np.ndarray, key: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The surest, each key once; ties go to the smaller key."""
+    order = np.lexsort((key, -sure))
+    _, first = np.unique(key[order], return_index=True)
+    kept = order[np.sort(first)[:most]]
+    return sure[kept], key[kept]
+
+
+def _surest(docs: DataFrame, labels: DataFrame):
+    """The surest of all documents without a label, see ``cotrain``."""
+    names = ("doc_id", "text", "lang", "source", "n_chars")
+    rows = docs.filter(F.col("doc_id").isNotNull())
+    n = labels.count()
+    known = np.empty(0, np.int64)
+    if 8 * n <= sizing.broadcast_bytes(docs.sparkSession):
+        known = np.sort(labels.select(F.xxhash64("doc_id").alias("id")).toArrow().column("id").to_numpy())
+    else:
+        rows = stored(rows.join(labels, "doc_id", "left_anti").select(*names))
+    rows = rows.select(*names, F.xxhash64("doc_id").alias("id"), F.xxhash64(*names).alias("key"))
+    labelled = docs.sparkSession.sparkContext.broadcast(known)
+    taken: list[list[int]] = [[], []]
+
+    def free(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids = labelled.value
+        if not len(ids):
+            return batch
+        id_ = batch.column("id").to_numpy()
+        return batch.filter(pa.array(ids[np.minimum(np.searchsorted(ids, id_), len(ids) - 1)] != id_))
+
+    def surest(weights, most):
+        shared = docs.sparkSession.sparkContext.broadcast((weights, [np.array(t, np.int64) for t in taken]))
+
+        def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            weights, gone = shared.value
+            best = {(k, label): (np.empty(0), np.empty(0, np.int64)) for k in (0, 1) for label in (1, 0)}
+            for batch in _blocks(map(free, batches)):
+                key = batch.column("key").to_numpy()
+                for k, x in enumerate(_both(batch)):
+                    p, new = chance(x, weights[k]), ~np.isin(key, gone[1 - k])
+                    for label, sure in ((1, p), (0, 1 - p)):
+                        some = new & (sure >= SURE)
+                        if some.any():
+                            s, c = best[k, label]
+                            best[k, label] = _top(np.append(s, sure[some]), np.append(c, key[some]), most[label])
+            for (k, label), (s, c) in best.items():
+                columns = [np.full(len(c), k, np.int32), np.full(len(c), label, np.int32), s, c]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["k", "label", "sure", "key"])
+
+        top = rows.mapInArrow(look, "k int, label int, sure double, key long")
+        top = top.withColumn("list", F.spark_partition_id() % LISTS)
+        bound = F.when(F.col("label") == 1, most[1]).otherwise(most[0])
+        for by in (("k", "label", "list"), ("k", "label")):
+            top = top.groupBy("key", *by).agg(F.max("sure").alias("sure"))
+            best = Window.partitionBy(*by).orderBy(F.desc("sure"), "key")
+            top = top.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= bound).drop("rank")
+        chosen = top.toArrow().to_pandas().sort_values(["k", "label", "sure", "key"], ascending=[True, False, False, True])
+        wanted = docs.sparkSession.createDataFrame([(x,) for x in sorted({int(x) for x in chosen["key"]})], "key long")
+        # the texts of the few that were chosen are read again
+        found = rows.join(F.broadcast(wanted), "key", "left_semi").select(F.col("key").alias("doc_id"), F.lit(None).cast("int").alias("label"), *names[1:])
+        of = {}
+        for r in _features(found).toArrow().to_pylist():
+            of[r["doc_id"]] = [np.frombuffer(r[c], np.float32) for c in ("text_view", "metadata_view")]
+        out = []
+        for k in (0, 1):
+            for label in (1, 0):
+                keys = chosen["key"][(chosen["k"] == k) & (chosen["label"] == label)].tolist()
+                taken[1 - k].extend(keys)
+                if keys:
+                    out.append((1 - k, label, np.stack([of[x][1 - k] for x in keys])))
+        return out
+
+    return surest
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """Learns from samples of ``doc_id, text, lang, source, n_chars`` and ``doc_id, label``."""
+    """Learns from ``doc_id, text, lang, source, n_chars`` and ``doc_id, label``."""
     labels = labels.filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull())
     labels = labels.groupBy("doc_id").agg(F.min("label").cast("int").alias("label"))
+    # labels of documents that are not there take no place in the sample
+    labels = stored(labels.join(docs.select("doc_id"), "doc_id", "left_semi"))
     known = _share(labels, MOST_LABELLED)
     # the sample is bounded whatever the size of the tables
     labelled = docs.join(F.broadcast(known), "doc_id").select("doc_id", "label", "text", "lang", "source", "n_chars")
-    pool = _share(docs.filter(F.col("doc_id").isNotNull()), MOST_POOL).join(labels, "doc_id", "left_anti")
-    pool = pool.select("doc_id", F.lit(None).cast("int").alias("label"), "text", "lang", "source", "n_chars")
-    found = _features(labelled.unionByName(pool)).toArrow().to_pandas()
+    found = _features(labelled).toArrow().to_pandas()
+    weight = {r.doc_id: r.weight for r in known.collect()}
     found = found.sort_values(["doc_id", "label", "text_view"], ignore_index=True)
     views = [np.stack([np.frombuffer(x, np.float32) for x in found[c]]) if len(found) else np.empty((0, 1)) for c in ("text_view", "metadata_view")]
-    has = found["label"].notna().to_numpy()
-    fold = np.array([zlib.crc32(str(x).encode()) % 4 == 2 for x in found["doc_id"][has]], bool)
-    y = found["label"][has].to_numpy(np.int64)
-    return cotrain([x[has] for x in views], y, fold, [x[~has] for x in views])
+    fold = np.array([zlib.crc32(str(x).encode()) % 4 == 2 for x in found["doc_id"]], bool)
+    y = found["label"].to_numpy(np.int64)
+    each = np.array([weight[x] for x in found["doc_id"]], float)
+    return cotrain(views, y, fold, _surest(docs, labels), weight=each)
 
 
 def scores(docs: DataFrame, model: Model | None, least: float = 0.5) -> DataFrame:

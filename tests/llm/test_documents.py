@@ -290,6 +290,31 @@ def test_classifier_edges(spark, strained):
     assert all(r.score == 0 and not r.keep for r in rows if r.doc_id in (0, 1, 2))
 
 
+def test_classifier_learns_a_rare_class(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(cotraining, "MOST_LABELLED", 100)
+    bad = F.col("id") % 500 < 3
+    text = F.when(bad, F.concat(F.lit("$$$ 1234 #### "), F.col("id"))).otherwise(F.concat(F.lit("the cat sat on a mat "), F.col("id")))
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.length(text).cast("long").alias("n_chars"))
+    labels = spark.range(12000).filter("id % 100 <> 0").select(F.col("id").alias("doc_id"), (~bad).cast("int").alias("label"))
+    model = cotraining.fit(docs, labels)
+    assert model is not None
+    got = {r.doc_id: r.keep for r in cotraining.scores(docs, model).collect()}
+    assert all(got[i] == (i % 500 >= 3) for i in got)
+
+
+def test_surest_of_all_unlabelled_documents(spark):
+    docs = spark.createDataFrame([(i, f"word {i} " * 3, "en", "s", 9) for i in range(300)], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = docs.filter("doc_id % 10 <> 0").selectExpr("doc_id", "1 AS label")
+    weights = [np.append(np.zeros(d), 9.0) for d in (cotraining.TRIGRAMS + cotraining.RATIOS, cotraining.LANGUAGES + cotraining.SOURCES + 2)]
+    # copies of one row count once, and no row is chosen twice for one view
+    surest = cotraining._surest(docs.unionAll(docs), labels)
+    first, second = (surest(weights, {1: 20, 0: 20}) for _ in range(2))
+    assert [(o, label, len(x)) for o, label, x in first] == [(1, 1, 20), (0, 1, 20)]
+    assert [(o, label, len(x)) for o, label, x in second] == [(1, 1, 10), (0, 1, 10)]
+
+
 def test_components_of_any_shape(spark):
     rng = random.Random(10)
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(30)]
