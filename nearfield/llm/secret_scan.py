@@ -2,8 +2,10 @@
 
 Three fixed kinds are always reported: assignments, access keys and hex strings. A fourth, strings
 that mix letters and digits, is common in harmless text. Its values are counted over the whole
-corpus first: a value that several owners use is a copied example and is left out, one that stays
-with its owner looks live and is reported. The same counts mark every fixed span as live or copied.
+corpus first. A value that several owners use in texts that differ, or that very many repositories hold
+whoever owns them, is a copied example and is left out; one that stays with its owner, or with the
+mirrored copies of a single text, looks live and is reported. A repository is a document id of an owner.
+The same counts mark every fixed span as live or copied.
 
 Only built-in expressions run. Patterns look at text that can hold a match at all; the corpus-wide
 counts shuffle 64-bit hashes of values, never text, and combine before the shuffle.
@@ -28,8 +30,10 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
 GENERIC = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 KINDS = ("assign", "access", "hex", "generic")
 
-#: A value that more owners use than this is a copied example.
+#: A value that more owners use than this, in texts that differ, is a copied example,
 MAX_OWNERS = 1
+#: and so is one that more repositories hold than this.
+MAX_REPOSITORIES = 100
 BLOCK = 256
 
 
@@ -137,30 +141,33 @@ def scanned(docs: DataFrame, doc_id="doc_id", text="text", owner="source") -> Da
 
 
 def ownership(spans: DataFrame) -> DataFrame:
-    """Per hash of a value: how many repositories and owners have it."""
+    """Per hash of a value: how many repositories and owners have it, and whether their texts differ."""
+    lo, hi = F.min("lo").alias("lo"), F.max("hi").alias("hi")
     return (
         spans.groupBy("value", "owner", "doc_id")
-        .agg(F.lit(1).alias("one"))
+        .agg(F.min("content").alias("lo"), F.max("content").alias("hi"))
         .groupBy("value", "owner")
-        .agg(F.count("*").alias("n_repositories"))
+        .agg(F.count("*").alias("n_repositories"), lo, hi)
         .groupBy("value")
-        .agg(F.sum("n_repositories").alias("n_repositories"), F.count("*").alias("n_owners"))
+        .agg(F.sum("n_repositories").alias("n_repositories"), F.count("*").alias("n_owners"), lo, hi)
+        .select("value", "n_owners", "n_repositories", (F.col("lo") < F.col("hi")).alias("differ"))
     )
 
 
-def judged(rows: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """Per id and content with spans: ``of, of_content, told``, each span with whether it looks live."""
+def judged(rows: DataFrame, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
+    """Per id and content with spans: ``of, of_content, told``, each span with its verdict and counts."""
     spans = rows.filter((F.size("base") > 0) | (F.size("extra") > 0)).select(
         "doc_id", "content", "owner", F.explode(F.concat("base", "extra")).alias("span")
     )
     spans = spans.select("doc_id", "content", "owner", "span", F.col("span.value").alias("value"))
-    live = ownership(spans).select("value", (F.col("n_owners") <= max_owners).alias("live"))
+    copied = ((F.col("n_owners") > max_owners) & F.col("differ")) | (F.col("n_repositories") > max_repositories)
+    live = ownership(spans).select("value", (~copied).alias("live"), "n_owners", "n_repositories")
     # the value's verdict returns to its documents; one value may be in a third of them, and the
     # join has its rows on the one side only, so that Spark can split them
     return (
         spans.join(live, "value")
         .groupBy(F.col("doc_id").alias("of"), F.col("content").alias("of_content"))
-        .agg(F.collect_set(F.struct("span", "live")).alias("told"))
+        .agg(F.collect_set(F.struct("span", "live", "n_owners", "n_repositories")).alias("told"))
     )
 
 
@@ -169,15 +176,22 @@ def _added(told: Column) -> Column:
     return F.transform(F.filter(told, lambda t: (t["span"]["kind"] == 3) & t["live"]), lambda t: t["span"])
 
 
-def secret_scan(docs: DataFrame, doc_id="doc_id", text="text", owner="source", max_owners=MAX_OWNERS):
-    """Per row: counts of the fixed kinds, all spans, and how many of them look live or copied."""
+def secret_scan(
+    docs: DataFrame, doc_id="doc_id", text="text", owner="source", max_owners=MAX_OWNERS, max_repositories=MAX_REPOSITORIES
+):
+    """Per row: counts of the fixed kinds, all spans, and how many of them look live or copied.
+
+    ``counts`` has owners and repositories of the value of each of ``spans``, in the same order.
+    """
     rows = stored(scanned(docs, doc_id, text, owner))
-    told = judged(rows, max_owners)
+    told = judged(rows, max_owners, max_repositories)
     # each row has its spans once, whatever others share its id
     same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("content") == F.col("of_content"))
     df = rows.join(told, same, "left").select("doc_id", "base", "told")
     added = _added(F.col("told"))
     every = F.sort_array(F.concat("base", F.coalesce(added, F.filter("base", lambda x: F.lit(False)))))
+    listed = F.sort_array(F.filter("told", lambda t: (t["span"]["kind"] < 3) | t["live"]))
+    counts = F.transform(listed, lambda t: F.concat_ws(":", t["n_owners"], t["n_repositories"]))
     kind = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
     fixed = lambda live: F.coalesce(
         F.size(F.filter("told", lambda t: (t["span"]["kind"] < 3) & (t["live"] == live))), F.lit(0)
@@ -191,6 +205,7 @@ def secret_scan(docs: DataFrame, doc_id="doc_id", text="text", owner="source", m
         _listed(every).alias("spans"),
         fixed(True).alias("n_live"),
         fixed(False).alias("n_copied"),
+        F.coalesce(F.array_join(counts, ","), F.lit("")).alias("counts"),
     )
 
 

@@ -68,6 +68,19 @@ def test_secrets_of_one_owner_look_live(spark):
     assert masked[1] == "see [secret] here" and masked[2] == rows[1][1]
 
 
+def test_secrets_by_owners_and_repositories(spark):
+    example, mirrored = "Zx9" + "k7Q" * 8, "Ab1" + "m2R" * 8
+    rows = [(i, f"see {example} in {i}", "hot") for i in range(secret_scan.MAX_REPOSITORIES + 1)]
+    rows += [(1000, f"use {mirrored}", "a"), (1001, f"use {mirrored}", "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: (r.spans, r.counts) for r in secret_scan.secret_scan(df).collect()}
+    assert got == {i: ("", "") for i, _, _ in rows[:-2]} | {i: ("generic:4:31", "2:2") for i in (1000, 1001)}
+    masked = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+    assert masked == {i: t for i, t, _ in rows[:-2]} | {i: "use [secret]" for i in (1000, 1001)}
+    few = {r.doc_id: r.counts for r in secret_scan.secret_scan(df, max_repositories=200).collect()}
+    assert few[0] == f"1:{secret_scan.MAX_REPOSITORIES + 1}"
+
+
 def test_many_spans_in_one_text(spark):
     text = "token=abcdef é" * 1500
     df = spark.createDataFrame([(1, text, "a", len(text))], "doc_id long, text string, source string, n_chars long")
