@@ -5,8 +5,10 @@ from nearfield.llm import (  # noqa: F401
     duck_bpe,
     fingerprints,
     language_id,
+    line_dedup,
     ngram_join,
     packing,
+    periodic_runs,
     quality_rules,
     secret_scan,
     token_count,
