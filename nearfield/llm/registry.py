@@ -1,6 +1,7 @@
 """All queries of this subpackage; importing it registers them."""
 
 from nearfield.llm import (  # noqa: F401
+    conversation_repair,
     cotraining,
     duck_bpe,
     fingerprints,
