@@ -28,6 +28,7 @@ from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
@@ -380,20 +381,23 @@ def _repaired(given: DataFrame, lines: DataFrame, marked: DataFrame) -> DataFram
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new = np.frombuffer("".join(ROLES).upper().encode(), np.uint8)
         for batch in batches:
-            for k, (first, marks) in enumerate(zip(batch.column("place").to_pylist(), batch.column("marks").to_pylist())):
-                mark = np.frombuffer(marks.encode(), np.uint8)
-                given_row = ~np.isin(mark, new)
-                line = first + np.cumsum(given_row) - 1
-                stays = np.flatnonzero(mark != ord(GONE))
-                n = len(stays)
-                columns = [
-                    batch.column("conv_id").take(pa.array(np.full(n, k))),
-                    pa.array(np.full(n, first, np.int64)),
-                    pa.array(stays.astype(np.int32)),
-                    pa.array(line[stays], mask=~given_row[stays]),
-                    pa.array(mark[stays].view("S1").astype(str)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            marks = batch.column("marks").cast(pa.binary())
+            size = pc.binary_length(marks).to_numpy()
+            chunk, ends = np.repeat(np.arange(len(size)), size), np.cumsum(size)
+            mark = np.frombuffer(b"".join(marks.to_pylist()), np.uint8)
+            given_row = ~np.isin(mark, new)
+            before = np.concatenate([[0], np.cumsum(given_row)])
+            first = batch.column("place").to_numpy()
+            line = first[chunk] + before[:-1] - before[ends - size][chunk]
+            stays = np.flatnonzero(mark != ord(GONE))
+            columns = [
+                batch.column("conv_id").take(pa.array(chunk[stays])),
+                pa.array(first[chunk[stays]]),
+                pa.array((stays - (ends - size)[chunk[stays]]).astype(np.int32)),
+                pa.array(line[stays], mask=~given_row[stays]),
+                pa.array(mark[stays].view("S1").astype(str)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     rows = stored(steps.mapInArrow(spread, schema))
     named = F.create_map(*(F.lit(x) for pair in ROLES.items() for x in pair))
