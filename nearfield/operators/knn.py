@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,12 +10,9 @@ from pyspark.sql import functions as F
 
 from nearfield.functions import expr
 from nearfield.functions.kernels import Flat, matrix, sq_norms, vectors
-from nearfield.plans import scan, sizing, tiles
+from nearfield.plans import regions, scan, sizing
 from nearfield.sources.table import VectorTable, check_metric, check_positive, checked, whole_id
 
-MAX_PIVOTS = 1024
-BLOCK = 4096
-
 
 def as_queries(df: DataFrame, id: str = "qid", vec: str = "vec") -> DataFrame:
     """Query rows ``(qid, vec)`` from any id and vector column; an id that is no integer fails."""
@@ -40,7 +35,7 @@ def knn_join(
 
     A side within the broadcast limit is broadcast: a small table makes the
     join map-only, small queries make it one scan with a merge of short lists.
-    Two large sides are routed through regions of the table and shuffled.
+    Two large sides meet in regions of the table, or all in a grid of tiles.
     A query of another size, or with a missing, NaN or infinite element, fails
     the job, as a bad row of the table does. Queries that share an id are each
     answered on their own.
@@ -57,8 +52,7 @@ def knn_join(
     if small is not None:
         small, back = numbered(queries.sparkSession, small)
         return back(scan.over_corpus(table.df, small, k, metric, Flat(dim)))
-    queries, back = own_ids(queries)
-    return back(_routed(queries, table, k, metric, rows))
+    return regions.RegionJoin(queries, table.df, rows, k, metric, dim).result()
 
 
 def numbered(spark: SparkSession, queries):
@@ -85,148 +79,6 @@ def _renamed(found: DataFrame, names: DataFrame) -> DataFrame:
     return named.select(*found.columns)
 
 
-def _routed(queries: DataFrame, table: VectorTable, k: int, metric: str, rows: int):
-    """Exact join of two large sides.
-
-    Rows belong to the region of their nearest pivot, a row of the table. The
-    triangle inequality tells which regions may hold a neighbour of a query;
-    it visits those and no others.
-    """
-    spark, dim = table.df.sparkSession, table.dim
-    corpus = table.df.select("id", F.col("vec").cast("array<float>").alias("vec"))
-    most = max(1, sizing.broadcast_bytes(spark) // (8 * dim))
-    wanted = max(1, min(math.isqrt(rows) + 1, MAX_PIVOTS, most))
-    picked = corpus.orderBy(F.xxhash64("id"), "id").limit(wanted).toArrow()
-    pivots = spark.sparkContext.broadcast(matrix(picked.column("vec"), dim).astype(np.float64))
-
-    def nearest_pivot(batch):
-        x = matrix(batch.column("vec"), dim)
-        cell, radius = np.empty(len(x), np.int32), np.empty(len(x))
-        for s in range(0, len(x), BLOCK):
-            _, d2, error = _pivot_distances(x[s : s + BLOCK], pivots.value)
-            cell[s : s + BLOCK] = d2.argmin(axis=1)
-            radius[s : s + BLOCK] = np.sqrt((d2 + error).min(axis=1))
-        return cell, radius
-
-    def place(batches):
-        for batch in batches:
-            cell, _ = nearest_pivot(batch)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cell), batch.column("id"), batch.column("vec")],
-                names=["cell", "id", "vec"],
-            )
-
-    def summarise(batches):
-        count, reach = np.zeros(len(pivots.value), np.int64), np.zeros(len(pivots.value))
-        near = np.full((len(pivots.value), k), np.inf)
-        for batch in batches:
-            cell, radius = nearest_pivot(batch)
-            count += np.bincount(cell, minlength=len(count))
-            np.maximum.at(reach, cell, radius)
-            near = _smallest(near, cell, radius)
-        used = np.flatnonzero(count)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(used.astype(np.int32)),
-                pa.array(count[used]),
-                pa.array(reach[used]),
-                pa.array(list(near[used]), pa.list_(pa.float64())),
-            ],
-            names=["cell", "n", "reach", "near"],
-        )
-
-    # one partial summary per task: k radii per region each
-    summary = (
-        corpus.coalesce(sizing.merge_width(spark))
-        .mapInArrow(summarise, "cell int, n long, reach double, near array<double>")
-        .groupBy("cell")
-        .agg(
-            F.sum("n").alias("n"),
-            F.max("reach").alias("reach"),
-            F.element_at(F.array_sort(F.flatten(F.collect_list("near"))), k).alias("near"),
-        )
-        .collect()
-    )
-    shape = len(pivots.value)
-    counts, reach, near = np.zeros(shape, np.int64), np.zeros(shape), np.full(shape, np.inf)
-    for row in summary:
-        counts[row.cell], reach[row.cell], near[row.cell] = row.n, row.reach, row.near
-    regions = spark.sparkContext.broadcast((counts, reach, near))
-
-    def route(batches):
-        for batch in batches:
-            for s in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(s, BLOCK)
-                q = matrix(part.column("vec"), dim)
-                keep, bound = _may_hold(q, pivots.value, *regions.value, k, metric)
-                ends = np.concatenate([[0], keep.sum(axis=1).cumsum()]).astype(np.int32)
-                cells = np.nonzero(keep)[1].astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("qid"),
-                        part.column("vec"),
-                        pa.array(bound),
-                        pa.ListArray.from_arrays(ends, cells),
-                    ],
-                    names=["qid", "vec", "bound", "cells"],
-                )
-
-    routed = (
-        queries.select("qid", "vec")
-        .mapInArrow(route, "qid long, vec array<float>, bound double, cells array<int>")
-        .select("qid", "vec", "bound", F.explode("cells").alias("cell"))
-    )
-    placed = corpus.mapInArrow(place, "cell int, id long, vec array<float>")
-    sizes = spark.createDataFrame([(row.cell, row.n) for row in summary], "cell int, n long")
-    return tiles.tile_topk(routed, placed, k, metric, Flat(dim), dim, len(counts), sizes)
-
-
-def _smallest(near: np.ndarray, cell: np.ndarray, radius: np.ndarray) -> np.ndarray:
-    """The k smallest radii per region, over those held and new ones."""
-    regions, k = near.shape
-    cell = np.concatenate([np.repeat(np.arange(regions), k), cell])
-    radius = np.concatenate([near.ravel(), radius])
-    order = np.lexsort((radius, cell))
-    first = np.searchsorted(cell[order], np.arange(regions))
-    return radius[order][first[:, None] + np.arange(k)]
-
-
-def _pivot_distances(x: np.ndarray, pivots: np.ndarray):
-    """Dot products, squared distances and a bound on their rounding error."""
-    x = x.astype(np.float64)
-    dots = x @ pivots.T
-    xx, pp = sq_norms(x)[:, None], sq_norms(pivots)[None, :]
-    error = 8 * (x.shape[1] + 8) * np.finfo(np.float64).eps * (xx + pp)
-    return dots, np.maximum(xx + pp - 2 * dots, 0), error
-
-
-def _may_hold(q, pivots, counts, reach, near, k: int, metric: str):
-    """Which regions may hold one of the k best rows of each query, and a bound
-    on the cost of the k-th best.
-
-    No row of a region lies farther from its pivot than ``reach``, and k of its
-    rows lie within ``near`` if it has as many. So k rows of that one region
-    are as good as ``worst``, and k pivots, rows themselves, as good as the
-    k-th best pivot; a region whose ``best`` is beyond that holds no result.
-    """
-    dots, d2, error = _pivot_distances(q, pivots)
-    if metric == "l2":
-        pivot = np.sqrt(d2 + error)
-        worst, best = pivot + near, np.sqrt(np.maximum(d2 - error, 0)) - reach
-    else:
-        pivot = error - dots
-        length = np.sqrt(sq_norms(q.astype(np.float64)))[:, None]
-        # a zero query times an infinite ``near`` must not give NaN
-        spread = np.where(np.isinf(near), np.inf, length * np.where(np.isinf(near), 0, near))
-        worst, best = pivot + spread, -dots - error - length * reach
-    bound = worst.min(axis=1)
-    if pivot.shape[1] >= k:
-        bound = np.minimum(bound, np.partition(pivot, k - 1, axis=1)[:, k - 1])
-    bound = bound + 1e-9 * np.abs(bound)
-    keep = (best <= bound[:, None]) & (counts > 0)
-    return keep, bound**2 if metric == "l2" else bound
-
-
 def self_knn(table: VectorTable, k: int, metric: str | None = None, exclude_self: bool = False):
     """The table searched with its own rows; rank 1 is usually the row itself."""
     queries = as_queries(table.df, "id")
