@@ -940,6 +940,17 @@ def save_and_load_graph(spark, sf_dir):
     return _rounded(index.clone(sizing.new_path(spark)).graph.edges)
 
 
+@_query("SELECT true AS near, count(*) AS rows FROM embeddings")
+def graph_descent_recall(spark, sf_dir):
+    """Whether descent from its default start finds at least 0.9 of each row's 8 nearest."""
+    points = _stretched(spark, sf_dir)
+    found = graph.nearest_edges(points, 8)
+    found = found.withColumnsRenamed({"src": "qid", "dst": "id"})
+    truth = knn.self_knn(points, 8, exclude_self=True)
+    recall = evaluate.recall_at_k(found, truth)
+    return recall.agg((F.avg("recall") >= 0.9).alias("near"), F.count("*").alias("rows"))
+
+
 @_query()
 def graph_search(spark, sf_dir):
     points = _stretched(spark, sf_dir)

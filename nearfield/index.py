@@ -159,7 +159,12 @@ class VectorIndex:
         out = replace(self, table=table)
         if self.kind != "graph":
             return out
-        return replace(out, graph=graph.graph_build(table, self.params["degree"]))
+        degree = self.params["degree"]
+        if self.graph is None:
+            return replace(out, graph=graph.graph_build(table, degree))
+        # rows are only ever added
+        added = table.df.join(self.table.df.select("id"), "id", "left_anti")
+        return replace(out, graph=graph.graph_add(self.graph, table, added, degree))
 
 
 def new_index(
