@@ -64,7 +64,7 @@ def vector_table(
 
 def whole_id(df: DataFrame, id: str) -> Column:
     """The id as a 64-bit integer; a value that is none fails the job that reads it."""
-    if df.schema[id].dataType.typeName() in ("byte", "short", "integer", "long"):
+    if _whole(df, id):
         return F.col(id).cast("long")
     return F.expr(
         f"CASE WHEN {_fractional(id)} THEN raise_error(concat('vector ', string(`{id}`), "
@@ -78,25 +78,44 @@ def _fractional(id: str) -> str:
 
 
 def checked(df: DataFrame, dim: int, id: str = "id") -> DataFrame:
-    """The same rows of ``(id, vec, ...)``; a bad one fails the job that reads it."""
-    reason = _reason(dim, id, "vec")
+    """The same rows of ``(id, vec, ...)``; a bad one fails the job that reads it.
+
+    What consumers see is one short condition per row; the reason is worked out for a bad row only.
+    """
+    whole = _whole(df, id)
+    reason = _reason(dim, id, "vec", whole)
     good = F.expr(
-        f"CASE WHEN {reason} IS NULL THEN vec ELSE raise_error(concat('vector ', "
+        f"CASE WHEN {_good(dim, id, 'vec', whole)} THEN vec ELSE raise_error(concat('vector ', "
         f"coalesce(string({id}), 'without id'), ' rejected: ', {reason}, "
         f"coalesce(concat(', size ', string(size(vec))), ''), ', expected {dim} finite elements')) END"
     )
     return df.withColumn("vec", good)
 
 
-def _reason(dim: int, id: str, vec: str) -> str:
+def _whole(df: DataFrame, id: str) -> bool:
+    """Whether the type of the ids allows whole numbers only."""
+    return df.schema[id].dataType.typeName() in ("byte", "short", "integer", "long")
+
+
+def _good(dim: int, id: str, vec: str, whole: bool) -> str:
+    """SQL text, true for a good row and false or null for any other."""
+    ids = f"`{id}` IS NOT NULL" + ("" if whole else f" AND NOT {_fractional(id)}")
+    return (
+        f"{ids} AND size(`{vec}`) = {dim} AND array_contains(`{vec}`, float('NaN')) IS NOT NULL "
+        f"AND float(array_max(`{vec}`)) < float('infinity') AND float(array_min(`{vec}`)) > float('-infinity')"
+    )
+
+
+def _reason(dim: int, id: str, vec: str, whole: bool = False) -> str:
     """SQL text; array functions run as compiled loops, unlike lambdas.
 
     ``array_contains`` is NULL when the value is missing and an element is null;
     ``array_max`` takes NaN for the largest value. Ranges are those of float32,
     to which elements are narrowed.
     """
+    fractional = "" if whole else f"WHEN {_fractional(id)} THEN 'non_integer_id' "
     return (
-        f"CASE WHEN `{id}` IS NULL THEN 'null_id' WHEN {_fractional(id)} THEN 'non_integer_id' "
+        f"CASE WHEN `{id}` IS NULL THEN 'null_id' {fractional}"
         f"WHEN `{vec}` IS NULL THEN 'null_vector' "
         f"WHEN size(`{vec}`) != {dim} THEN 'wrong_dim' "
         f"WHEN array_contains(`{vec}`, float('NaN')) IS NULL THEN 'null_element' "
