@@ -13,6 +13,9 @@ FIRST_ROWS = 256
 TILE_ROWS = 2048
 TILE_QUERIES = 512
 PAIR_BLOCK = 1 << 21
+#: Most queries of one list that read costs from tables, and rows that they look up at a time.
+TABLE_QUERIES = 12
+TABLE_ROWS = 1 << 14
 # odd 64-bit number near 2**64 over the golden ratio
 HASH_FACTOR = 0x9E3779B97F4A7C15
 NO_ID = np.iinfo(np.int64).max
@@ -228,26 +231,75 @@ class Half:
 
 
 class Product:
-    """Rebuilds vectors from product-quantizer codes: list centroid + sub-centroids.
+    """Product-quantized rows: codes of the residual to the centroid of their list.
 
-    ``books`` is a broadcast ``(m, codes, dim / m)`` matrix. ``coarse`` is a
-    broadcast of the list centroids; without it rows carry theirs in a column.
+    ``books`` is a broadcast ``(m, codes, dim / m)`` matrix, ``coarse`` a broadcast of the list centroids.
+    Without it whoever reads the rows knows their list's centroid, as rows hold nothing but codes.
     """
 
+    columns = ["codes"]
+
     def __init__(self, books, coarse):
         self.books, self.coarse = books, coarse
-        self.columns = ["codes"] if coarse is not None else ["codes", "coarse"]
 
-    def __call__(self, batch) -> np.ndarray:
+    def codes(self, batch) -> np.ndarray:
+        return binary_matrix(batch.column("codes"), self.books.value.shape[0], "u1")
+
+    def vectors(self, codes: np.ndarray, base: np.ndarray) -> np.ndarray:
+        """The rows that the codes stand for, with one centroid for all or one for each."""
         books = self.books.value
         m, _, width = books.shape
-        codes = binary_matrix(batch.column("codes"), m, "u1")
-        out = books[np.arange(m), codes].reshape(len(codes), m * width)
+        return (books[np.arange(m), codes].reshape(len(codes), m * width) + base).astype(np.float32)
+
+    def __call__(self, batch) -> np.ndarray:
         if self.coarse is None:
-            base = matrix(batch.column("coarse"), m * width)
-        else:
-            base = self.coarse.value[batch.column("list_id").to_numpy()]
-        return (out + base).astype(np.float32)
+            dim = self.books.value.shape[0] * self.books.value.shape[2]
+            return self.vectors(self.codes(batch), matrix(batch.column("coarse"), dim))
+        return self.vectors(self.codes(batch), self.coarse.value[batch.column("list_id").to_numpy()])
+
+    def tables(self, queries: np.ndarray, base: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
+        """What each code of each sub-space adds to a query's cost within a list, and the rest of that cost."""
+        books = self.books.value
+        m, _, width = books.shape
+        q, base = queries.astype(np.float64), base.astype(np.float64)
+        if metric == "l2":
+            left = (q - base).reshape(len(q), m, width)
+            cross = np.einsum("qsw,scw->qsc", left, books)
+            norms = np.einsum("qsw,qsw->qs", left, left)[:, :, None]
+            return norms - 2 * cross + np.einsum("scw,scw->sc", books, books), np.zeros(len(q))
+        return -np.einsum("qsw,scw->qsc", q.reshape(len(q), m, width), books), -(q @ base)
+
+    def push(self, best: TopK, ids: np.ndarray, codes: np.ndarray, base: np.ndarray, only=None) -> None:
+        """Offers the rows of one list.
+
+        For few queries a row's cost is a sum of table entries, one for each of its codes, and only rows near
+        enough are put together, to be scored as all others are. For many queries it takes less to put all
+        rows together once and score them with a matrix product.
+        """
+        picked = np.arange(len(best.qids)) if only is None else only
+        if len(picked) > TABLE_QUERIES:
+            best.push(ids, self.vectors(codes, base), only)
+            return
+        q, k = best.queries[picked], best.k
+        table, rest = self.tables(q, base, best.metric)
+        longest = np.sqrt((sq_norms(self.books.value.reshape(-1, self.books.value.shape[2])).max()) * table.shape[1])
+        # vectors are rounded to float32 when put together, sums of table entries are not
+        reach = best.length[picked] + np.sqrt(sq_norms(base[None, :].astype(np.float64)))[0] + longest
+        slack = 8 * np.finfo(np.float32).eps * reach**2
+        for s in range(0, len(ids), TABLE_ROWS):
+            part = np.ascontiguousarray(codes[s : s + TABLE_ROWS].T)
+            approx = np.repeat(rest[:, None], part.shape[1], axis=1)
+            for sub, code in enumerate(part):
+                approx += table[:, sub].take(code, axis=1)
+            limit = np.minimum(best.cost[picked, -1], best.bound[picked]) + slack
+            if not np.isfinite(limit).all() and part.shape[1] > k:
+                kth = np.partition(approx, k - 1, axis=1)[:, k - 1]
+                limit = np.minimum(limit, kth + 2 * slack)
+            qi, xi = np.nonzero(approx <= limit[:, None])
+            rows, at = np.unique(xi, return_inverse=True)
+            x = self.vectors(codes[s + rows], base)
+            best._merge(picked[qi], exact_cost(q[qi], x[at], best.metric), ids[s + xi])
+        best.seen[picked] += len(ids)
 
 
 def binary_matrix(column, width: int, dtype: str) -> np.ndarray:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nearfield.functions import kernels
-from nearfield.functions.kernels import Flat, TopK, matrix
+from nearfield.functions.kernels import Flat, Product, TopK, matrix
 from nearfield.operators.kmeans import KMeansModel, kmeans_train, with_cluster
 from nearfield.operators.knn import knn_join, numbered, own_ids
 from nearfield.plans import scan, sizing, tiles
@@ -157,17 +157,29 @@ def ivf_search(index: IvfIndex, queries: DataFrame, k: int, nprobe: int = 1) ->
     spark, dim = rows.sparkSession, index.dim
     nprobe = min(check_positive("nprobe", nprobe), index.nlist)
     small = sizing.small_matrix(queries, "qid", dim, k=k)
-    if small is not None and sizing.fits(spark, len(small[0]) * nprobe, 2):
+    # beside the probes, centroids of the probed lists may have to be sent along
+    wide = dim if _own_base(index) else 2
+    if small is not None and sizing.fits(spark, len(small[0]) * nprobe, wide):
         small, back = numbered(spark, small)
         vectors = pa.table({"qid": pa.array(small[0]), "vec": kernels.vectors(small[1])})
         few = spark.createDataFrame(vectors, "qid long, vec array<float>")
         return back(_scan_lists(index, small, ivf_probes(index, few, nprobe), k))
     queries, back = own_ids(queries)
     visits = ivf_probes(index, queries, nprobe).withColumnRenamed("list_id", "cell")
+    if _own_base(index):
+        centroids = index.model.table.df.select(
+            F.col("id").cast("int").alias("cell"), F.col("vec").cast("array<float>").alias("base")
+        )
+        visits = visits.join(centroids, "cell")
     cells = rows.select(F.col("list_id").alias("cell"), "id", *index.decode.columns)
     return back(tiles.tile_topk(visits, cells, k, index.metric, index.decode, dim, index.nlist))
 
 
+def _own_base(index: IvfIndex) -> bool:
+    """Whether searches have to bring the centroids of the lists along."""
+    return isinstance(index.decode, Product) and index.decode.coarse is None
+
+
 def _scan_lists(index: IvfIndex, queries, probes: DataFrame, k: int) -> DataFrame:
     qids, mat = queries
     order = np.argsort(qids, kind="stable")
@@ -178,9 +190,14 @@ def _scan_lists(index: IvfIndex, queries, probes: DataFrame, k: int) -> DataFram
     by_list = np.lexsort((position, lists))
     probed = np.unique(lists)
     rows = only_lists(index, probed.tolist())
-    return scan.over_lists(
-        rows, (qids, mat), (position[by_list], lists[by_list]), k, index.metric, index.decode
-    )
+    bases = None
+    if _own_base(index):
+        # no more than there are probes, which fit the broadcast limit
+        wanted = rows.sparkSession.createDataFrame([(i,) for i in probed.tolist()], "id long")
+        found = index.model.table.df.join(F.broadcast(wanted), "id", "left_semi").select("id", "vec").toArrow()
+        bases = dict(zip(found.column("id").to_pylist(), matrix(found.column("vec"), index.dim)))
+    pairs = position[by_list], lists[by_list]
+    return scan.over_lists(rows, (qids, mat), pairs, k, index.metric, index.decode, bases)
 
 
 def only_lists(index: IvfIndex, lists: list[int]) -> DataFrame:

@@ -262,8 +262,7 @@ def ivf_pq(index: IvfIndex, book: Codebook) -> IvfIndex:
     """Inverted lists whose rows hold codes of the residual to their centroid.
 
     The distance of a query to a row is its distance to the decoded vector,
-    equal to the sum of per-sub-space table lookups; decoding a batch once and
-    scoring it with a matrix product serves all queries that probe the list.
+    found as a sum of table entries where few queries probe a list.
     """
     _require_plain(index)
     if book.dim != index.dim:
@@ -276,20 +275,16 @@ def ivf_pq(index: IvfIndex, book: Codebook) -> IvfIndex:
 def product_rows(index: IvfIndex, book: Codebook) -> IvfIndex:
     """Index whose rows are codes; rows it holds already must be codes.
 
-    Coarse centroids beyond the broadcast limit are joined to the rows by list.
+    Rows hold no centroid, also beyond the broadcast limit.
     """
     spark, coarse = index.require().model.table.df.sparkSession, _coarse(index)
     books = spark.sparkContext.broadcast(book.books)
 
     def encode(listed: DataFrame) -> DataFrame:
         shifted = _minus_coarse(index, listed)
-        coded = shifted.withColumn("codes", pq_encode(listed, book)).drop("vec")
-        return coded if coarse is not None else _join_coarse(index, coded)
+        return shifted.withColumn("codes", pq_encode(listed, book)).drop("vec")
 
-    rows = index.rows
-    if rows is not None and coarse is None:
-        rows = _join_coarse(index, rows)
-    return replace(index, rows=rows, encode=encode, decode=Product(books, coarse))
+    return replace(index, encode=encode, decode=Product(books, coarse))
 
 
 def decoded(index: IvfIndex) -> DataFrame:
@@ -298,13 +293,17 @@ def decoded(index: IvfIndex) -> DataFrame:
     if isinstance(decode, Flat):
         return rows.select("id", "vec")
 
+    columns = list(decode.columns)
+    if isinstance(decode, Product) and decode.coarse is None:
+        rows, columns = _join_coarse(index, rows), [*columns, "coarse"]
+
     def rebuild(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), vectors(decode(batch))], names=["id", "vec"]
             )
 
-    return rows.select("list_id", "id", *decode.columns).mapInArrow(
+    return rows.select("list_id", "id", *columns).mapInArrow(
         rebuild, "id long, vec array<float>"
     )
 

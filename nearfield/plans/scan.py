@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nearfield.functions.kernels import TopK, int64, matrix
+from nearfield.functions.kernels import Product, TopK, int64, matrix
 from nearfield.plans import sizing
 
 RESULT = "qid long, rank int, id long, distance double"
@@ -61,27 +61,33 @@ def over_corpus(rows: DataFrame, queries, k: int, metric: str, decode) -> DataFr
     return rank_merge(partial, k, metric)
 
 
-def over_lists(rows: DataFrame, queries, probes, k: int, metric: str, decode) -> DataFrame:
+def over_lists(rows: DataFrame, queries, probes, k: int, metric: str, decode, bases=None) -> DataFrame:
     """As ``over_corpus``, but a query only meets rows of the lists it probes.
 
     ``probes`` is ``(query position, list_id)`` as two arrays sorted by list.
     Only probed lists are read: on a stored table the filter prunes partitions.
+    ``bases`` are centroids by list for product-quantized rows, if these are not broadcast.
     """
     spark = rows.sparkSession
     wanted, starts = np.unique(probes[1], return_index=True)
     groups = dict(zip(wanted.tolist(), np.split(probes[0], starts[1:])))
-    shared = spark.sparkContext.broadcast((queries, groups))
+    shared = spark.sparkContext.broadcast((queries, groups, bases))
+    product = isinstance(decode, Product)
 
     def search(batches):
-        queries, groups = shared.value
+        queries, groups, bases = shared.value
         best = TopK(*queries, k, metric)
         for batch in batches:
             lists = batch.column("list_id").to_numpy()
-            ids, x = int64(batch.column("id")), decode(batch)
+            ids, x = int64(batch.column("id")), decode.codes(batch) if product else decode(batch)
             order = np.argsort(lists, kind="stable")
             present, first = np.unique(lists[order], return_index=True)
             for list_id, pos in zip(present.tolist(), np.split(order, first[1:])):
-                best.push(ids[pos], x[pos], groups[list_id])
+                if product:
+                    base = (decode.coarse.value if bases is None else bases)[list_id]
+                    decode.push(best, ids[pos], x[pos], base, groups[list_id])
+                else:
+                    best.push(ids[pos], x[pos], groups[list_id])
         yield best.batch()
 
     partial = (

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearfield.functions.kernels import TopK, int64, matrix
+from nearfield.functions.kernels import Product, TopK, int64, matrix
 from nearfield.plans import scan, sizing
 
 TILE = ["cell", "q_part", "x_part"]
@@ -28,16 +28,17 @@ def tile_topk(
     cells: int,
     sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """Top-k of ``probes(qid, vec, cell[, bound])`` among ``rows(cell, id, ...)``.
+    """Top-k of ``probes(qid, vec, cell[, bound][, base])`` among ``rows(cell, id, ...)``.
 
-    ``bound`` is a cost that the k-th best row of a query does not exceed.
+    ``bound`` is a cost that the k-th best row of a query does not exceed, ``base`` the centroid
+    of the cell for product-quantized rows whose centroids are not broadcast.
 
     ``cells`` bounds the number of distinct cells and with it the size of the
     table of splits that both sides look up. ``sizes(cell, n)`` are the rows
     per cell where they are known already.
     """
     spark = rows.sparkSession
-    bounds = [c for c in probes.columns if c == "bound"]
+    bounds = [c for c in probes.columns if c in ("bound", "base")]
     limit = sizing.tile_rows(spark, dim)
     if sizes is None:
         sizes = rows.groupBy("cell").agg(F.count("*").alias("n"))
@@ -59,11 +60,19 @@ def tile_topk(
     )
 
     def search(queries: pa.Table, corpus: pa.Table) -> pa.Table:
-        bound = queries.column("bound").to_numpy() if bounds else np.inf
+        bound = queries.column("bound").to_numpy() if "bound" in bounds else np.inf
         q = matrix(queries.column("vec"), dim)
         best = TopK(int64(queries.column("qid")), q, k, metric, bound)
-        if corpus.num_rows:
-            best.push(int64(corpus.column("id")), decode(corpus))
+        ids = int64(corpus.column("id"))
+        if corpus.num_rows and queries.num_rows and isinstance(decode, Product):
+            # all rows of a cell lie in one list
+            if "base" in bounds:
+                base = matrix(queries.column("base").slice(0, 1), dim)[0]
+            else:
+                base = decode.coarse.value[corpus.column("list_id")[0].as_py()]
+            decode.push(best, ids, decode.codes(corpus), base)
+        elif corpus.num_rows:
+            best.push(ids, decode(corpus))
         return pa.Table.from_batches([best.batch()])
 
     partial = (

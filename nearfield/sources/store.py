@@ -114,7 +114,7 @@ def _save_lists(index: IvfIndex, path: str) -> None:
     meta = {"nlist": index.nlist, "bucket_lists": None, "storage": None, "rows": 0}
     if index.rows is not None:
         per_bucket = -(-index.nlist // MAX_BUCKETS)
-        rows = index.rows.drop("bucket", "coarse")
+        rows = index.rows.drop("bucket")
         rows = rows.repartitionByRange("list_id", "id").sortWithinPartitions("list_id", "id")
         meta["rows"] = _write(with_bucket(rows, per_bucket), f"{path}/lists", "bucket")
         meta["bucket_lists"] = per_bucket
