@@ -13,6 +13,7 @@ from collections.abc import Callable
 from itertools import chain, islice
 
 import numpy as np
+import pyarrow as pa
 
 MOST = 1_000_000
 MOST_CHARS = 24 << 20
@@ -27,43 +28,58 @@ SPACES[[9, 10, 11, 12, 13, 32]] = True
 LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 
 
-def unsafe(docs: list[str]) -> np.ndarray:
-    """Texts that may be cut at white space only.
-
-    The others have no two white spaces in a row and none beyond ASCII, and each full stop or comma
-    follows a digit or Latin letter; these may also be cut around spaces and line ends and in front
-    of full stops and commas.
-    """
-    raw = [x.encode() for x in docs]
-    size = np.fromiter(map(len, raw), np.int64, len(raw))
-    data = np.frombuffer(b"\0\0" + b"".join(raw) + b"\0\0", np.uint8)
-    starts = 2 + np.cumsum(size) - size
-    space = SPACES[data]
-    first = starts[size > 0]
-    inside = np.ones(len(data), bool)
-    inside[first] = False
-    places = [np.flatnonzero(space[1:] & space[:-1] & inside[1:]) + 1, np.flatnonzero(data == 1)]
-    dot = np.flatnonzero((data == 44) | (data == 46))
-    last, lead = data[dot - 1], data[dot - 2]
-    latin = (last >= 0x80) & (lead >= 0xC3) & (lead <= 0xC8) & ~((lead == 0xC3) & ((last == 0x97) | (last == 0xB7)))
-    places.append(dot[~((LETTERS[last] | latin) & inside[dot])])
-    wide = np.flatnonzero((data == 0xC2) | (data == 0xE1) | (data == 0xE2) | (data == 0xE3))
-    a, b, c = data[wide], data[wide + 1], data[wide + 2]
-    blank = (a == 0xC2) & ((b == 0x85) | (b == 0xA0)) | (a == 0xE1) & (b == 0x9A) & (c == 0x80)
-    blank |= (a == 0xE2) & (b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))
-    blank |= (a == 0xE2) & (b == 0x81) & (c == 0x9F) | (a == 0xE3) & (b == 0x80) & (c == 0x80)
-    places.append(wide[blank])
-    out = np.zeros(len(docs), bool)
-    out[np.searchsorted(starts, np.concatenate(places), "right") - 1] = True
-    return out
-
-
-def cut(doc: str, spaces_only: bool) -> list[str]:
-    """Pieces of a text whose ids don't depend on each other."""
-    if spaces_only:
-        return SAFE.findall(doc)
-    doc = doc.replace(" ", "\x01 ").replace("\n", "\x01\n\x01").replace(",", "\x01,").replace(".", "\x01.")
-    return doc.split("\x01")
+class Layout:
+    """Texts as one buffer of bytes, two zero bytes on both sides, with each one's start and size."""
+
+    def __init__(self, docs: list[str]):
+        raw = [x.encode() for x in docs]
+        self.docs, self.size = docs, np.fromiter(map(len, raw), np.int64, len(raw))
+        self.data = np.frombuffer(b"\0\0" + b"".join(raw) + b"\0\0", np.uint8)
+        self.starts = 2 + np.cumsum(self.size) - self.size
+
+    def pieces(self) -> tuple[pa.Array, np.ndarray]:
+        """Pieces whose ids don't depend on each other, and how many each text has."""
+        begins = (self.data == 32) | (self.data == 10) | (self.data == 44) | (self.data == 46)
+        begins[1:] |= self.data[:-1] == 10
+        for i in np.flatnonzero(self.unsafe()).tolist():
+            start = self.starts[i]
+            size = np.fromiter((len(x.encode()) for x in SAFE.findall(self.docs[i])), np.int64)
+            begins[start : start + self.size[i]] = False
+            begins[start + np.cumsum(size) - size] = True
+        begins[:2] = begins[-2:] = False
+        begins[self.starts[self.size > 0]] = True
+        at = np.flatnonzero(begins)
+        kind, width = (pa.string(), np.int32) if len(self.data) < 1 << 31 else (pa.large_string(), np.int64)
+        offsets = np.append(at, len(self.data) - 2).astype(width)
+        found = pa.Array.from_buffers(kind, len(at), [None, pa.py_buffer(offsets), pa.py_buffer(self.data)])
+        return found, np.searchsorted(at, self.starts + self.size) - np.searchsorted(at, self.starts)
+
+    def unsafe(self) -> np.ndarray:
+        """Texts that may be cut at white space only.
+
+        The others have no two white spaces in a row and none beyond ASCII, and each full stop or comma
+        follows a digit or Latin letter; these may also be cut around spaces and line ends and in front
+        of full stops and commas.
+        """
+        data, starts, size = self.data, self.starts, self.size
+        space = SPACES[data]
+        first = starts[size > 0]
+        inside = np.ones(len(data), bool)
+        inside[first] = False
+        places = [np.flatnonzero(space[1:] & space[:-1] & inside[1:]) + 1, np.flatnonzero(data == 1)]
+        dot = np.flatnonzero((data == 44) | (data == 46))
+        last, lead = data[dot - 1], data[dot - 2]
+        latin = (last >= 0x80) & (lead >= 0xC3) & (lead <= 0xC8) & ~((lead == 0xC3) & ((last == 0x97) | (last == 0xB7)))
+        places.append(dot[~((LETTERS[last] | latin) & inside[dot])])
+        wide = np.flatnonzero((data == 0xC2) | (data == 0xE1) | (data == 0xE2) | (data == 0xE3))
+        a, b, c = data[wide], data[wide + 1], data[wide + 2]
+        blank = (a == 0xC2) & ((b == 0x85) | (b == 0xA0)) | (a == 0xE1) & (b == 0x9A) & (c == 0x80)
+        blank |= (a == 0xE2) & (b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))
+        blank |= (a == 0xE2) & (b == 0x81) & (c == 0x9F) | (a == 0xE3) & (b == 0x80) & (c == 0x80)
+        places.append(wide[blank])
+        out = np.zeros(len(self.docs), bool)
+        out[np.searchsorted(starts, np.concatenate(places), "right") - 1] = True
+        return out
 
 
 LATIN_WORD = re.compile(" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+").fullmatch
@@ -125,13 +141,12 @@ class PieceMemory:
         """All ids in order, and where each document's end; documents without ids are empty."""
         if len(self.memory) > self.most or self.chars > MOST_CHARS:
             self._forget()
-        numbers, sizes = [], np.empty(len(docs), np.int64)
-        for i, (doc, spaces_only) in enumerate(zip(docs, unsafe(docs).tolist(), strict=True)):
-            parts = cut(doc, spaces_only)
-            numbers.extend(map(self.memory.__getitem__, parts))
-            sizes[i] = len(parts)
+        pieces, sizes = Layout(docs).pieces()
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        numbers = np.fromiter(map(self.memory.__getitem__, distinct), np.int64, len(distinct))
         self._learn()
-        at = np.fromiter(numbers, np.int64, len(numbers))
+        at = numbers[coded.indices.to_numpy()]
         met = np.bincount(at, minlength=len(self.memory))
         met[: len(self.met)] += self.met
         self.met = met
@@ -154,35 +169,35 @@ class WordIds(PieceMemory):
 
         self.spelled = self._spelling()
 
-    def _spelling(self) -> Callable[[str], str] | None:
-        """How the model wants to see a word of Latin letters, if words reach it whole."""
-        stand_in = _stand_ins()
+    def _spelling(self) -> Callable[[list[str]], list[str]] | None:
+        """How the model wants to see words of Latin letters, if words reach it whole."""
+        shown = np.arange(256, dtype="<u4")
+        for byte, char in _stand_ins().items():
+            shown[byte] = ord(char) if byte != 10 else 10
 
-        def plain(word: str) -> str:
-            return word.encode().decode("latin-1").translate(stand_in)
+        def plain(words: list[str]) -> list[str]:
+            data = np.frombuffer("\n".join(words).encode(), np.uint8)
+            return shown[data].tobytes().decode("utf-32-le").split("\n")
 
-        def folded(word: str) -> str:
-            return plain(word.strip(" ").lower())
+        def folded(words: list[str]) -> list[str]:
+            return plain(["\n".join(words).replace(" ", "").lower()])
 
         probes = ["a", " a", "Word", " wOrd", "\xe9t\xe9", " \xc9t\xe9\xff", " \xdf", "s", " s", "antidisestablishment"]
         want = [self.tokenizer.encode(x, add_special_tokens=False).ids for x in probes]
         for spelled in (plain, folded):
-            if [[t.id for t in self.tokenizer.model.tokenize(spelled(x))] for x in probes] == want:
+            if [[t.id for t in self.tokenizer.model.tokenize(x)] for x in spelled(probes)] == want:
                 return spelled
         return None
 
     def _library(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Words of Latin letters go straight to the library's model, all else through all of it."""
         got: list = [None] * len(pieces)
-        rest = range(len(pieces))
-        if self.spelled:
-            spelled, merged, other = self.spelled, self.tokenizer.model.tokenize, []
-            for i, piece in enumerate(pieces):
-                if LATIN_WORD(piece):
-                    got[i] = [t.id for t in merged(spelled(piece))]
-                else:
-                    other.append(i)
-            rest = other
+        latin = [i for i, piece in enumerate(pieces) if LATIN_WORD(piece)] if self.spelled else []
+        if latin:
+            merged = self.tokenizer.model.tokenize
+            for i, word in zip(latin, self.spelled([pieces[i] for i in latin]), strict=True):
+                got[i] = [t.id for t in merged(word)]
+        rest = [i for i, ids in enumerate(got) if ids is None]
         found = self.tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)
         for i, e in zip(rest, found, strict=True):
             got[i] = e.ids
