@@ -10,6 +10,8 @@ from nearfield.plans import sizing
 from nearfield.sources.table import VectorTable
 
 KEY_BYTES = 32
+#: Keys that are looked up one by one.
+FEW = 1000
 
 
 def reconstruct(table: VectorTable, keys: DataFrame, on_missing: str = "error") -> DataFrame:
@@ -21,17 +23,21 @@ def reconstruct(table: VectorTable, keys: DataFrame, on_missing: str = "error")
     if on_missing not in ("error", "null"):
         raise ValueError("on_missing must be 'error' or 'null'")
     spark = table.df.sparkSession
-    wanted = keys.select("id").distinct()
-    # few keys: broadcast them and the table is scanned where it lies
-    if keys.count() * KEY_BYTES <= sizing.broadcast_bytes(spark):
-        wanted = F.broadcast(wanted)
+    few = keys.select("id").limit(FEW + 1).toArrow().column("id").to_pylist()
+    if len(few) <= FEW:
+        # the ids reach the Parquet scan, and no more than the files that may hold them are read
+        rows = table.holding(sorted({i for i in few if i is not None})).select("id", "vec")
+    else:
+        wanted = keys.select("id").distinct()
+        # many keys: broadcast them if they fit and the table is scanned where it lies
+        if keys.count() * KEY_BYTES <= sizing.broadcast_bytes(spark):
+            wanted = F.broadcast(wanted)
+        rows = table.df.select("id", "vec").join(wanted, "id")
     twice = F.raise_error(
         F.concat(F.lit("id "), F.col("id"), F.lit(" is stored more than once"))
     )
     found = (
-        table.df.select("id", "vec")
-        .join(wanted, "id")
-        .groupBy("id")
+        rows.groupBy("id")
         .agg(F.count("*").alias("n"), F.first("vec").alias("vec"))
         .select("id", F.when(F.col("n") == 1, F.col("vec")).otherwise(twice).alias("vec"))
     )

@@ -13,7 +13,7 @@ from nearfield.functions.kernels import Flat, Product
 from nearfield.operators.ivf import IvfIndex, with_bucket
 from nearfield.operators.kmeans import KMeansModel
 from nearfield.operators.quant import Codebook, codebook, ivf_half, product_rows
-from nearfield.sources.table import VectorTable
+from nearfield.sources.table import SortedFiles, VectorTable
 
 MAX_BUCKETS = 2000
 
@@ -34,7 +34,9 @@ def save(table: VectorTable | IvfIndex | KMeansModel, path: str, sort_by_id: boo
         if sort_by_id:
             df = df.repartitionByRange("id").sortWithinPartitions("id")
         rows = _write(df, f"{path}/vectors")
-        commit(table.df.sparkSession, path, kind="flat", rows=rows, **_shape(table))
+        if sort_by_id:
+            _write_ranges(table.df.sparkSession, path)
+        commit(table.df.sparkSession, path, kind="flat", rows=rows, sorted=sort_by_id, **_shape(table))
 
 
 def load(spark: SparkSession, path: str) -> VectorTable | IvfIndex | KMeansModel:
@@ -42,8 +44,10 @@ def load(spark: SparkSession, path: str) -> VectorTable | IvfIndex | KMeansModel
     meta = read_meta(spark, path)
     kind = meta["kind"]
     if kind == "flat":
-        df = spark.read.parquet(f"{path}/vectors")
-        return VectorTable(df, meta["dim"], meta["metric"], meta["rows"])
+        df, files = spark.read.parquet(f"{path}/vectors"), None
+        if meta.get("sorted"):
+            files = SortedFiles(df, spark.read.schema("file string, lo long, hi long").parquet(f"{path}/ranges"), f"{path}/vectors")
+        return VectorTable(df, meta["dim"], meta["metric"], meta["rows"], files)
     if kind == "kmeans":
         return _load_model(spark, path, meta)
     return _load_lists(spark, path, meta)
@@ -89,6 +93,14 @@ def _write(df: DataFrame, path: str, by: str | None = None) -> int:
     return seen.get["rows"]
 
 
+def _write_ranges(spark: SparkSession, path: str) -> None:
+    """Which ids each file holds."""
+    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    rows = spark.read.parquet(f"{path}/vectors").select(name.alias("file"), "id")
+    rows = rows.groupBy("file").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    rows.coalesce(1).write.parquet(f"{path}/ranges")
+
+
 def commit(spark: SparkSession, path: str, **meta) -> None:
     row = spark.createDataFrame([(json.dumps(meta),)], "value string")
     row.coalesce(1).write.text(f"{path}/meta")

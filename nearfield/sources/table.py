@@ -24,18 +24,44 @@ def check_positive(name: str, value: int) -> int:
     return value
 
 
+@dataclass(frozen=True)
+class SortedFiles:
+    """Files of a table stored by id: ``ranges(file, lo, hi)`` under a folder."""
+
+    df: DataFrame
+    ranges: DataFrame
+    folder: str
+
+    def holding(self, ids: list[int]) -> DataFrame:
+        """Rows of the files that may hold some of the ids; at most as many files as ids, but for split ids."""
+        wanted = F.array(*(F.lit(i) for i in ids)) if ids else F.array().cast("array<long>")
+        hit = F.exists(wanted, lambda i: i.between(F.col("lo"), F.col("hi")))
+        names = [f"{self.folder}/{r.file}" for r in self.ranges.filter(hit).select("file").collect()]
+        if not names:
+            return self.df.filter(F.lit(False))
+        return self.df.sparkSession.read.schema(self.df.schema).parquet(*names)
+
+
 @dataclass(frozen=True)
 class VectorTable:
     """Rows ``(id, vec, payload...)`` of one dimension under one metric.
 
     Tables never change; an append gives a new table over the old one. ``rows``
-    is the row count where it is known, which spares later size checks a job.
+    is the row count where it is known, which spares later size checks a job;
+    ``files`` tells which files hold an id, as long as they are all of the table.
     """
 
     df: DataFrame
     dim: int
     metric: str = "l2"
     rows: int | None = None
+    files: SortedFiles | None = None
+
+    def holding(self, ids: list[int]) -> DataFrame:
+        """The rows with these ids; no other files of a table stored by id are opened."""
+        stored = self.files is not None and self.files.df is self.df
+        rows = self.files.holding(ids) if stored else self.df
+        return rows.filter(F.col("id").isin(ids))
 
     def count(self) -> int:
         return self.df.count() if self.rows is None else self.rows
