@@ -120,10 +120,11 @@ def fingerprints(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
     order = stored(neighbours(rows.select("doc_id", "content", F.length("text").alias("n_chars"))))
 
     # both joins and the grouping between them are on these two, and the id comes with the place:
-    # so both uses of the texts need the same columns, and one shuffle serves them
+    # so both uses of the texts need the same columns, and one shuffle serves them; it goes without
+    # anchors, which are larger than short texts and are found on either side of it
     here = (F.col("key") == F.col("place")) & (F.col("content") == F.col("place_content"))
-    rows = rows.select(F.xxhash64("doc_id").alias("key"), "content", "text", anchors(F.col("text")).alias("anchors"))
-    rows = rows.join(order, here).drop("place", "place_content")
+    rows = rows.select(F.xxhash64("doc_id").alias("key"), "content", "text")
+    rows = rows.join(order, here).withColumn("anchors", anchors(F.col("text"))).drop("place", "place_content")
     # what the document before needs from this one: the start of its text, and its anchors
     given = (
         rows.select(
