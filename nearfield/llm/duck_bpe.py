@@ -4,7 +4,9 @@ Encoding: the bytes of every distinct word are rows of (word, position, token).
 token and its successor with the merge table, takes each word's pair of least rank, the leftmost of
 these, and contracts it. A word is finished when no pair of it merges. Words beyond ``LONG`` bytes go
 through a second query that contracts all pairs of the least rank at once wherever no merge that
-follows could have a lower rank than theirs, so that the number of steps stays bearable.
+follows could have a lower rank than theirs, so that the number of steps stays bearable. Words beyond
+``LONGEST`` bytes, of which that query would need too many steps and rows, are contracted in the same
+order with a heap of their pairs.
 
 Decoding: token rows join the vocabulary, and an aggregation ordered by position concatenates their
 bytes per document.
@@ -17,6 +19,8 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from functools import cached_property
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +34,8 @@ from nearfield.llm.word_ids import PieceMemory
 PIECE_BYTES = 2 << 20
 BLOCK = 20_000
 LONG = 64
+LONGEST = 2048
+TOKENS = 1 << 20
 MEMORY = "256MB"
 
 MERGE_STEPS = """
@@ -104,7 +110,7 @@ class DuckBpe:
             for k in range(1, len(token))
             if (a := self.rank.get(token[:k])) is not None and (b := self.rank.get(token[k:])) is not None
         ]
-        table = np.array(made, np.int32).reshape(-1, 3)
+        table = self.table = np.array(made, np.int32).reshape(-1, 3)
         pairs = pa.table({"l": table[:, 0], "r": table[:, 1], "m": table[:, 2]})
         # bytes stand as the characters from U+0100 on, as text is what DuckDB aggregates in order
         vocabulary = pa.table({
@@ -136,10 +142,44 @@ class DuckBpe:
             "tok": self.byte[data],
         })
         self.db.register("words", rows)
-        out = self.db.execute(steps).fetchnumpy()
-        self.db.unregister("words")
+        try:
+            out = self.db.execute(steps).fetchnumpy()
+        finally:
+            self.db.unregister("words")
         return out["tok"].astype(np.uint32), np.bincount(out["word"], minlength=len(words))
 
+    @cached_property
+    def pairs(self) -> dict[tuple[int, int], int]:
+        """What two tokens merge to; few tasks meet a word that asks for it."""
+        left, right, merged = self.table.T.tolist()
+        return dict(zip(zip(left, right), merged))
+
+    def _heaped(self, word: bytes) -> np.ndarray:
+        """Tokens of one long word: always its leftmost pair of least rank is contracted."""
+        token = self.byte[np.frombuffer(word, np.uint8)].tolist()
+        n = len(token)
+        after, before = [*range(1, n), -1], [-1, *range(n - 1)]
+        merged = self.pairs
+        heap = [(m, i) for i in range(n - 1) if (m := merged.get((token[i], token[i + 1]))) is not None]
+        heapify(heap)
+        while heap:
+            m, i = heappop(heap)
+            j = after[i]
+            # what stood here may have been contracted since
+            if token[i] < 0 or j < 0 or merged.get((token[i], token[j])) != m:
+                continue
+            token[i], token[j] = m, -1
+            k = after[i] = after[j]
+            if k >= 0:
+                before[k] = i
+                if (m := merged.get((token[i], token[k]))) is not None:
+                    heappush(heap, (m, i))
+            k = before[i]
+            if k >= 0 and (m := merged.get((token[k], token[i]))) is not None:
+                heappush(heap, (m, k))
+        out = np.array(token, np.int64)
+        return out[out >= 0].astype(np.uint32)
+
     def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words that the pattern has split off, in the order of the words."""
         whole = np.fromiter((self.rank.get(w, -1) for w in words), np.int64, len(words))
@@ -147,7 +187,7 @@ class DuckBpe:
         count, parts, order = np.ones(len(words), np.int64), [whole[whole >= 0]], [np.flatnonzero(whole >= 0)]
         for steps, block, chosen in (
             (MERGE_STEPS, BLOCK, np.flatnonzero((whole < 0) & (size <= LONG))),
-            (LONG_STEPS, 64, np.flatnonzero((whole < 0) & (size > LONG))),
+            (LONG_STEPS, 64, np.flatnonzero((whole < 0) & (size > LONG) & (size <= LONGEST))),
         ):
             for k in range(0, len(chosen), block):
                 some = chosen[k : k + block]
@@ -155,6 +195,11 @@ class DuckBpe:
                 count[some] = n
                 parts.append(ids)
                 order.append(some)
+        for i in np.flatnonzero((whole < 0) & (size > LONGEST)).tolist():
+            ids = self._heaped(words[i])
+            count[i] = len(ids)
+            parts.append(ids)
+            order.append(np.array([i]))
         # the parts come by word; put them in the order of the words
         order, flat = np.concatenate(order), np.concatenate(parts)
         at = np.cumsum(count[order]) - count[order]
@@ -184,19 +229,21 @@ class DuckBpe:
         return self.memory(docs)
 
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
-        """The bytes of each document."""
+        """The bytes of each document, a bounded number of tokens at a time."""
         size = np.diff(ends, prepend=0)
-        rows = pa.table({
-            "doc": np.repeat(np.arange(len(ends), dtype=np.int32), size),
-            "pos": np.arange(len(ids), dtype=np.int32),
-            "tok": ids.astype(np.int32),
-        })
-        self.db.register("ids", rows)
-        out = [b""] * len(ends)
-        for doc, shown in self.db.execute(DECODE).fetchall():
-            out[doc] = np.frombuffer(shown.encode("utf-16-le"), "<u2").astype(np.uint8).tobytes()
-        self.db.unregister("ids")
-        return out
+        doc = np.repeat(np.arange(len(ends), dtype=np.int32), size)
+        parts: list[list[bytes]] = [[] for _ in range(len(ends))]
+        for s in range(0, len(ids), TOKENS):
+            some = slice(s, s + TOKENS)
+            n = len(ids[some])
+            rows = {"doc": doc[some], "pos": np.arange(n, dtype=np.int32), "tok": ids[some].astype(np.int32)}
+            self.db.register("ids", pa.table(rows))
+            try:
+                for i, shown in self.db.execute(DECODE).fetchall():
+                    parts[i].append(np.frombuffer(shown.encode("utf-16-le"), "<u2").astype(np.uint8).tobytes())
+            finally:
+                self.db.unregister("ids")
+        return [b"".join(x) for x in parts]
 
 
 _OPEN: dict[tuple[str, str], DuckBpe] = {}

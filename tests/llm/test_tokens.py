@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import os
 import zlib
@@ -14,7 +15,7 @@ from tokenizers import Tokenizer  # noqa: E402
 
 from nearfield.llm import packing, token_files  # noqa: E402
 from nearfield.llm.common import new_path  # noqa: E402
-from nearfield.llm.duck_bpe import LONG_STEPS, DuckBpe, op7_byte_bpe  # noqa: E402
+from nearfield.llm.duck_bpe import LONG_STEPS, DuckBpe, encode_decode, op7_byte_bpe  # noqa: E402
 from nearfield.llm.token_count import op10_token_counts, token_counts  # noqa: E402
 from nearfield.llm.word_ids import WordIds, with_end  # noqa: E402
 
@@ -198,3 +199,35 @@ def test_byte_bpe_over_the_table(spark, small):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(docs[r.doc_id].encode()).hexdigest()
+
+
+def test_bpe_of_very_long_words_and_after_a_failure():
+    rng = np.random.default_rng(6)
+    long = [
+        "a" * 300_000,
+        "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 100_000)),
+        "".join(map(chr, rng.integers(0x4E00, 0x9FA5, 60_000))),
+        "ab" * 1500 + " tail " + "xyzw" * 600,
+    ]
+    ranks = dict(line.split() for line in open(RANKS, "rb"))
+    ranks = {base64.b64decode(k): int(v) for k, v in ranks.items()}
+    want = tiktoken.Encoding("own", pat_str=vocabularies.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    bpe = DuckBpe(RANKS, vocabularies.PATTERN)
+    for text in long:
+        ids, ends = bpe.encode([text, "after it"])
+        assert ids.tolist() == [*want.encode_ordinary(text), *want.encode_ordinary("after it")]
+        assert bpe.decode(ids, ends) == [text.encode(), b"after it"]
+    with pytest.raises(Exception, match="no_such_table"):
+        bpe._merged([b"abc"], "SELECT * FROM words, no_such_table")
+    ids, ends = bpe.encode(["still at work"])
+    assert bpe.decode(ids, ends) == [b"still at work"]
+
+
+def test_bpe_of_nulls_repeated_rows_and_clashing_names(spark, strained):
+    got = encode_decode(strained.selectExpr("*", "1 AS ids", "2 AS decoded"), RANKS, vocabularies.PATTERN)
+    assert got.columns == ["doc_id", "n_tokens", "ids", "decoded"]
+    want = sorted((str(r.doc_id), (r.text or "").encode()) for r in strained.collect())
+    rows = got.collect()
+    assert sorted((str(r.doc_id), bytes(r.decoded)) for r in rows) == want
+    assert all(len(r.ids) == 4 * r.n_tokens for r in rows)
+    assert encode_decode(strained.limit(0), RANKS, vocabularies.PATTERN).count() == 0
