@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import TEXTS, linked, quality, secrets
 
@@ -255,6 +256,49 @@ def test_code_lengths_equal_the_definition():
             assert got[i, j] == pytest.approx(brute_bits(model, rows, lang, t), abs=1e-3)
 
 
+def test_blocks_of_one_text_add_up(monkeypatch):
+    model = language_id.train([("a", b"abracadabra abra"), ("b", "\u043f\u0440\u0438\u0432\u0435\u0442".encode())])
+    texts = [b"abra " * 7, b"x", "\u043f\u0440\u0438 abra".encode() * 5]
+    data, starts = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts[:-1])])
+    whole = model.total_bits(data, starts)
+    for cells in (2, 6, 14, 46):
+        monkeypatch.setattr(language_id, "BLOCK_CELLS", cells)
+        assert np.allclose(model.total_bits(data, starts), whole)
+
+
+ALIKE = {
+    "ru": ["это был что который и не он", "ещё были дома когда они пришли", "что они не были этой"],
+    "uk": ["це був що який і не він", "ще були вдома коли вони прийшли", "що вони не були цієї"],
+    "zh": ["我们今天去学校学习中文", "他们在家里看书的时候", "我们在学校看书"],
+    "ja": ["今日は学校に行きます。", "彼は家で本を読んでいました", "今日は家で本を読みます"],
+}
+
+
+def test_languages_of_one_script_are_told_apart():
+    model = language_id.train([(k, x.encode()) for k, v in ALIKE.items() for x in v[:2] * 20])
+    texts = [v[2] for v in ALIKE.values()]
+    assert language_id.judge(model, pa.array(texts))[0] == list(ALIKE)
+
+
+def test_scripts_that_were_not_learned_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language_id.fit(docs)
+    texts = [x for v in ALIKE.values() for x in v] + ["η γλώσσα είναι", "اللغة العربية", "हिन्दी भाषा", "a😀😁" * 30]
+    other = spark.createDataFrame([(x * 20,) for x in texts], "text string")
+    assert language_id.language_filter(other, model).count() == 0
+    assert language_id.language_filter(docs, model).count() >= 0.99 * docs.filter("text RLIKE '[a-z]'").count()
+
+
+def test_long_documents_are_learned_from(spark):
+    rows = [(i, "the cat sat on the mat and then it ran " * 4, "en") for i in range(40)]
+    rows += [(100 + i, "привет мир " * 4000, "ru") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs, most=1 << 14)
+    assert model.languages == ["en", "ru"]
+    assert len(language_id.judge(model, pa.array(["x" * 10]))[0]) == 1
+    assert language_id.judge(model, pa.array(["мир привет"]))[0] == ["ru"]
+
+
 def test_languages_of_held_out_documents(spark):
     sf = "/root/testdata/sf0.01"
     lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
