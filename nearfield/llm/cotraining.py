@@ -9,7 +9,7 @@ add up (less the prior, which both contain) to the score of every document.
 Training learns from about ``MOST_LABELLED`` labelled documents, chosen by a hash of the id. Each class
 of each fold has the same share of these, and one with fewer is taken whole; what that shifts is weighed
 back in the calibration and the prior. Both views look at all unlabelled documents in every round, in a
-pass of their own of which the ``CONFIDENT`` surest remain, copies counting once. All documents are
+pass of their own of which the ``CONFIDENT`` surest remain, copies counting once whatever their ids. All documents are
 scored whole.
 
 A document with several labels has the lowest; null labels count as none. Without labels of both
@@ -244,6 +244,22 @@ def _top(sure: np.ndarray, key: np.ndarray, most: int) -> tuple[np.ndarray, np.n
     return sure[kept], key[kept]
 
 
+def once(rows: DataFrame) -> DataFrame:
+    """Of the rows of one ``doc_id`` the least one."""
+    rest = [c for c in rows.columns if c != "doc_id"]
+    return rows.groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row")).select("doc_id", *(f"row.{c}" for c in rest))
+
+
+def _first_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each task sends one row of an id; for few ids, whose rows are all alike."""
+    seen = np.empty(0, np.int64)
+    for batch in batches:
+        ids, first = np.unique(batch.column("doc_id").to_numpy(), return_index=True)
+        new = ~np.isin(ids, seen)
+        seen = np.union1d(seen, ids)
+        yield batch.take(pa.array(np.sort(first[new])))
+
+
 def _surest(docs: DataFrame, labels: DataFrame):
     """The surest of all documents without a label, see ``cotrain``."""
     names = ("doc_id", "text", "lang", "source", "n_chars")
@@ -254,7 +270,7 @@ def _surest(docs: DataFrame, labels: DataFrame):
         known = np.sort(labels.select(F.xxhash64("doc_id").alias("id")).toArrow().column("id").to_numpy())
     else:
         rows = stored(rows.join(labels, "doc_id", "left_anti").select(*names))
-    rows = rows.select(*names, F.xxhash64("doc_id").alias("id"), F.xxhash64(*names).alias("key"))
+    rows = rows.select(*names, F.xxhash64("doc_id").alias("id"), F.xxhash64(*names[1:]).alias("key"))
     labelled = docs.sparkSession.sparkContext.broadcast(known)
     taken: list[list[int]] = [[], []]
 
@@ -295,6 +311,7 @@ def _surest(docs: DataFrame, labels: DataFrame):
         wanted = docs.sparkSession.createDataFrame([(x,) for x in sorted({int(x) for x in chosen["key"]})], "key long")
         # the texts of the few that were chosen are read again
         found = rows.join(F.broadcast(wanted), "key", "left_semi").select(F.col("key").alias("doc_id"), F.lit(None).cast("int").alias("label"), *names[1:])
+        found = found.mapInArrow(_first_seen, found.schema).dropDuplicates(["doc_id"])
         of = {}
         for r in _features(found).toArrow().to_pylist():
             of[r["doc_id"]] = [np.frombuffer(r[c], np.float32) for c in ("text_view", "metadata_view")]
@@ -319,6 +336,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     known = _share(labels, MOST_LABELLED)
     # the sample is bounded whatever the size of the tables
     labelled = docs.join(F.broadcast(known), "doc_id").select("doc_id", "label", "text", "lang", "source", "n_chars")
+    labelled = once(labelled)
     found = _features(labelled).toArrow().to_pandas()
     weight = {r.doc_id: r.weight for r in known.collect()}
     found = found.sort_values(["doc_id", "label", "text_view"], ignore_index=True)
