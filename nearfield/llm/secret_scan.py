@@ -123,7 +123,8 @@ def _listed(spans: Column) -> Column:
 def scanned(docs: DataFrame, doc_id="doc_id", text="text", owner="source") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, content, owner, base, extra``.
 
-    ``content`` tells texts under one id apart; ``extra`` holds generic spans outside the fixed ones.
+    ``content`` tells texts under one id apart; ``extra`` holds generic spans that are not within a
+    fixed one. Those that go beyond one stay, so that a mask covers the union.
     """
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     df = docs.select(
@@ -135,7 +136,7 @@ def scanned(docs: DataFrame, doc_id="doc_id", text="text", owner="source") -> Da
     )
     apart = F.filter(
         "extra",
-        lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])),
+        lambda x: ~F.exists("base", lambda b: (b["start"] <= x["start"]) & (x["end"] <= b["end"])),
     )
     return df.withColumn("extra", apart)
 
