@@ -1,6 +1,7 @@
 """N-gram Jaccard join by signature trees, exact, with one row per document.
 
-The set of a text holds its distinct shingles of four words, as 64-bit hashes. Texts with equal sets
+The set of a text holds its distinct shingles of ``words`` words, as 64-bit hashes. Two documents link
+when their sets share ``share`` of the union, a fraction of whole numbers; the defaults are the query's. Texts with equal sets
 form a class. Two classes whose sets link share one of their smallest hashes, so classes meet in
 blocks by such a hash; of these, each class leaves out those that most classes have, as many as can
 be spared without a loss (see ``spare``).
@@ -32,7 +33,7 @@ from pyspark.sql import types as T
 from nearfield.llm.common import documents, pieces, query, stored, unused
 
 WORDS = 4
-#: Links have an overlap of 85 hundredths of the union, that is 17 / 37 of the sum of sizes.
+#: Links have an overlap of this share of the union: 85 hundredths are 17 / 37 of the sum of sizes.
 SHARE = (85, 100)
 SPARED = (6, 100)
 BITS = 512
@@ -46,32 +47,32 @@ PIECE_BYTES = 2 << 20
 # --------------------------------------------------------------------- sizes
 
 
-def least_overlap(n):
+def least_overlap(n, share=SHARE):
     """Overlap that a set of ``n`` needs with any set it links to."""
-    return -(-n * SHARE[0] // SHARE[1])
+    return -(-n * share[0] // share[1])
 
 
-def prefix(n):
-    return n - least_overlap(n) + 1
+def prefix(n, share=SHARE):
+    return n - least_overlap(n, share) + 1
 
 
 def spared(n):
     return n * SPARED[0] // SPARED[1]
 
 
-def spare(n):
+def spare(n, share=SHARE):
     """How many hashes of a prefix that is longer by ``spared(n)`` may be left out.
 
     Linked sets share ``1 + min(spared)`` hashes of their longer prefixes. In one order for all, each
     set may leave out its last ``min(spared)``: the first shared hash stays. As a partner has at
-    least 85 hundredths of ``n`` elements, its ``spared`` is known to be no less than this.
+    least ``share`` of ``n`` elements, its ``spared`` is known to be no less than this.
     """
-    return spared(least_overlap(n))
+    return spared(least_overlap(n, share))
 
 
-def links(overlap, a, b):
+def links(overlap, a, b, share=SHARE):
     """Whether sets of these sizes link."""
-    return (SHARE[0] + SHARE[1]) * overlap >= SHARE[0] * (a + b)
+    return (share[0] + share[1]) * overlap >= share[0] * (a + b)
 
 
 # ---------------------------------------------------------------------- sets
@@ -91,11 +92,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 _BYTE = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _PLACE = _mixed(np.arange(1, 4097, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
-_STEP = _mixed(np.arange(11, 11 + WORDS, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
 
 
-def shingle_sets(raw: list[bytes]) -> list[np.ndarray]:
+def shingle_sets(raw: list[bytes], words: int = WORDS) -> list[np.ndarray]:
     """Sorted hashes of the distinct shingles of each UTF-8 text."""
+    step = _mixed(np.arange(11, 11 + words, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
     data = _LOW[np.frombuffer(b" ".join([b"", *raw, b""]), np.uint8)]
     size = np.fromiter(map(len, raw), np.int64, len(raw))
     text_at = 1 + np.cumsum(size + 1) - (size + 1)
@@ -111,18 +112,18 @@ def shingle_sets(raw: list[bytes]) -> list[np.ndarray]:
     first = np.searchsorted(start, text_at)
     last = np.append(first[1:], len(start))
     count = last - first
-    # every run of four words; runs over a border of texts are not used
+    # every run of words; runs over a border of texts are not used
     run = np.zeros(len(word), np.uint64)
-    for k in range(min(WORDS, len(word))):
-        run[: len(word) - k] += word[k:] * _STEP[k]
+    for k in range(min(words, len(word))):
+        run[: len(word) - k] += word[k:] * step[k]
     run = _mixed(run)
     out = []
     for a, n in zip(first.tolist(), count.tolist(), strict=True):
-        if n >= WORDS:
-            found = np.sort(run[a : a + n - WORDS + 1])
+        if n >= words:
+            found = np.sort(run[a : a + n - words + 1])
             out.append(found[np.append(True, found[1:] != found[:-1])])
         elif n:
-            whole = (word[a : a + n] * _STEP[:n]).sum(dtype=np.uint64) ^ np.uint64(n)
+            whole = (word[a : a + n] * step[:n]).sum(dtype=np.uint64) ^ np.uint64(n)
             out.append(_mixed(np.array([whole], np.uint64)))
         else:
             out.append(np.empty(0, np.uint64))
@@ -145,7 +146,7 @@ def _raw(batch: pa.RecordBatch) -> list[bytes]:
     return [(x or "").encode() for x in batch.column("text").to_pylist()]
 
 
-def classes(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
+def classes(docs: DataFrame, doc_id="doc_id", text="text", words=WORDS, share=SHARE) -> DataFrame:
     """Per row: ``doc_id, n, cls``, the hashes that lead to its blocks, its signature."""
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     schema = rows.select("doc_id").schema.add("n", "long").add("cls", "long")
@@ -153,8 +154,8 @@ def classes(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", PIECE_BYTES):
-            sets = shingle_sets(_raw(batch))
-            keys = [s[: prefix(len(s)) + spared(len(s))] for s in sets]
+            sets = shingle_sets(_raw(batch), words)
+            keys = [s[: prefix(len(s), share) + spared(len(s))] for s in sets]
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             columns = [
                 batch.column("doc_id"),
@@ -171,7 +172,7 @@ def classes(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
 # -------------------------------------------------------------- verification
 
 
-def sets_of(wanted: DataFrame, docs: DataFrame, table: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
+def sets_of(wanted: DataFrame, docs: DataFrame, table: DataFrame, doc_id="doc_id", text="text", words=WORDS) -> DataFrame:
     """``cls, shingles`` for the classes of ``wanted(cls)``.
 
     One text of each class is read again and becomes a set. Texts are found through a bitmap of
@@ -190,7 +191,7 @@ def sets_of(wanted: DataFrame, docs: DataFrame, table: DataFrame, doc_id="doc_id
         bits = np.unpackbits(shared.value).astype(bool)
         for batch in pieces(batches, "text", PIECE_BYTES):
             some = batch.filter(pa.array(bits[batch.column("slot").to_numpy()]))
-            sets = [s for s in shingle_sets(_raw(some)) if len(s)] if some.num_rows else []
+            sets = [s for s in shingle_sets(_raw(some), words) if len(s)] if some.num_rows else []
             columns = [pa.array([class_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["cls", "shingles"])
 
@@ -198,14 +199,16 @@ def sets_of(wanted: DataFrame, docs: DataFrame, table: DataFrame, doc_id="doc_id
     return sets.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.first("shingles").alias("shingles"))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, table: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
+def verified(
+    pairs: DataFrame, docs: DataFrame, table: DataFrame, doc_id="doc_id", text="text", words=WORDS, share=SHARE
+) -> DataFrame:
     """Those pairs of classes ``(a, b)`` whose sets link.
 
     The sets of all ``b`` of one ``a`` stream past its own; beyond ``MEMBERS`` of them they are
     dealt out to several tasks.
     """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    sets = sets_of(wanted, docs, table, doc_id, text)
+    sets = sets_of(wanted, docs, table, doc_id, text, words)
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
     heads = parts.join(sets, F.col("a") == F.col("cls")).select(
         "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), "shingles"
@@ -228,7 +231,7 @@ def verified(pairs: DataFrame, docs: DataFrame, table: DataFrame, doc_id="doc_id
                 elif at == a:
                     k = np.searchsorted(own, s)
                     overlap = int((own[np.minimum(k, len(own) - 1)] == s).sum())
-                    if links(overlap, len(own), len(s)):
+                    if links(overlap, len(own), len(s), share):
                         out.append((a, b))
             found = np.array(out, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
@@ -302,7 +305,7 @@ class SignatureTree:
         )
 
 
-def _survive(x, y) -> np.ndarray:
+def _survive(x, y, share=SHARE) -> np.ndarray:
     """Of two arrays of nodes, broadcast against each other: pairs that may hold a link."""
     any_x, all_x, low_x, high_x, c_x, d_x = x
     any_y, all_y, low_y, high_y, c_y, d_y = y
@@ -311,7 +314,7 @@ def _survive(x, y) -> np.ndarray:
     only_y = np.bitwise_count(all_y & ~any_x).sum(axis=-1, dtype=np.int64)
     overlap = np.minimum(high_x - only_x, high_y - only_y)
     # the bound against the least sum of sizes that still allows such an overlap
-    return apart & links(overlap, np.maximum(low_x, overlap), np.maximum(low_y, overlap))
+    return apart & links(overlap, np.maximum(low_x, overlap), np.maximum(low_y, overlap), share)
 
 
 class Labels:
@@ -334,7 +337,7 @@ class Labels:
             apart = self.of[rows] != self.of[others]
 
 
-def join_trees(x: SignatureTree, y: SignatureTree, at_x, at_y, labels: Labels) -> list[tuple[int, int]]:
+def join_trees(x: SignatureTree, y: SignatureTree, at_x, at_y, labels: Labels, share=SHARE) -> list[tuple[int, int]]:
     """Joins rows of two trees (or of one with itself) that may link.
 
     ``at_x`` and ``at_y`` are the places of the trees' rows among those labelled. Pairs that brought
@@ -354,7 +357,7 @@ def join_trees(x: SignatureTree, y: SignatureTree, at_x, at_y, labels: Labels) -
         nj, rows_y = y.below(j, b) if j >= i else (j, np.array([b]))
         left = tuple(f[:, None] for f in x.fields(ni, rows_x))
         right = tuple(f[None] for f in y.fields(nj, rows_y))
-        ok = _survive(left, right)
+        ok = _survive(left, right, share)
         if same and ni == nj:
             ok &= rows_x[:, None] <= rows_y[None] if ni >= 0 else rows_x[:, None] < rows_y[None]
         p, q = np.nonzero(ok)
@@ -365,15 +368,15 @@ def join_trees(x: SignatureTree, y: SignatureTree, at_x, at_y, labels: Labels) -
     return out
 
 
-def block_pairs(cls, n, comp, sig, side) -> list[tuple[int, int]]:
+def block_pairs(cls, n, comp, sig, side, share=SHARE) -> list[tuple[int, int]]:
     """Pairs that join all of a block that may link; ``side`` tells two tiles apart."""
     labels = Labels(comp)
     if (side == side[0]).all():
         tree, all_ = SignatureTree(n, comp, sig), np.arange(len(n))
-        found = join_trees(tree, tree, all_, all_, labels)
+        found = join_trees(tree, tree, all_, all_, labels, share)
     else:
         x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        found = join_trees(SignatureTree(n[x], comp[x], sig[x]), SignatureTree(n[y], comp[y], sig[y]), x, y, labels)
+        found = join_trees(SignatureTree(n[x], comp[x], sig[x]), SignatureTree(n[y], comp[y], sig[y]), x, y, labels, share)
     return [(int(cls[p]), int(cls[q])) for p, q in found]
 
 
@@ -405,7 +408,7 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
-def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _searched(batches: Iterator[pa.RecordBatch], share) -> Iterator[pa.RecordBatch]:
     """Pairs that join the families of all blocks; rows come sorted by block."""
     seen: set[tuple[int, int]] = set()
     for rows, at in _whole_groups(batches, ["key", "i", "j"]):
@@ -413,10 +416,10 @@ def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint64).reshape(len(n), -1)
         size = np.diff(at)
         two = at[:-1][size == 2]
-        ok = _survive(*(tuple(f[two + k] for f in (sig, sig, n, n, comp, comp)) for k in (0, 1)))
+        ok = _survive(*(tuple(f[two + k] for f in (sig, sig, n, n, comp, comp)) for k in (0, 1)), share)
         found = list(zip(cls[two[ok]].tolist(), cls[two[ok] + 1].tolist(), strict=True))
         for a, b in zip(at[:-1][size > 2].tolist(), at[1:][size > 2].tolist(), strict=True):
-            found.extend(block_pairs(cls[a:b], n[a:b], comp[a:b], sig[a:b], side[a:b]))
+            found.extend(block_pairs(cls[a:b], n[a:b], comp[a:b], sig[a:b], side[a:b], share))
         fresh = sorted({(min(p), max(p)) for p in found} - seen)
         if len(seen) < 1_000_000:  # fewer repeats to send; what slips through is dropped later
             seen.update(fresh)
@@ -442,7 +445,7 @@ def overlaps(sets: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def family_links(cls, comp, sets, side) -> list[tuple[int, int]]:
+def family_links(cls, comp, sets, side, share=SHARE) -> list[tuple[int, int]]:
     """Links that join components within one family, or between two tiles of it."""
     labels, out = Labels(comp), []
     n = np.array([len(s) for s in sets])
@@ -452,26 +455,26 @@ def family_links(cls, comp, sets, side) -> list[tuple[int, int]]:
     for a in range(0, len(x), FAMILY_TILE):
         for b in range(a if one else 0, len(y), FAMILY_TILE):
             p, q = x[a : a + FAMILY_TILE], y[b : b + FAMILY_TILE]
-            i, j = np.nonzero(links(overlaps([sets[k] for k in p], [sets[k] for k in q]), n[p][:, None], n[q][None]))
+            i, j = np.nonzero(links(overlaps([sets[k] for k in p], [sets[k] for k in q]), n[p][:, None], n[q][None], share))
             labels.join(p[i], q[j], out)
     return [(int(cls[p]), int(cls[q])) for p, q in out]
 
 
-def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _decided(batches: Iterator[pa.RecordBatch], share) -> Iterator[pa.RecordBatch]:
     """Links between components of all families; rows come sorted by family."""
     for rows, at in _whole_groups(batches, ["family", "i", "j"]):
         cls, comp, side = (rows.column(c).to_numpy() for c in ("cls", "comp", "side"))
         sets = [np.frombuffer(x, np.uint64) for x in rows.column("shingles").to_pylist()]
         found = []
         for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-            found.extend(family_links(cls[a:b], comp[a:b], sets[a:b], side[a:b]))
+            found.extend(family_links(cls[a:b], comp[a:b], sets[a:b], side[a:b], share))
         yield _pairs(found)
 
 
 # ---------------------------------------------------------------------- join
 
 
-def blocks(table: DataFrame) -> DataFrame:
+def blocks(table: DataFrame, share=SHARE) -> DataFrame:
     """``key, cls, n, weight``: classes by shared hash, without the commonest hashes of each class."""
     rows = table.select("cls", "n", F.explode("keys").alias("key"))
     shared = rows.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.count("*").alias("df"))
@@ -479,7 +482,7 @@ def blocks(table: DataFrame) -> DataFrame:
     # copies of one text come together here
     rows = rows.join(shared, "key").groupBy("cls", "n", "key").agg(F.first("df").alias("df"))
     own = Window.partitionBy("cls", "n")
-    least = f"((n * {SHARE[0]} + {SHARE[1] - 1}) DIV {SHARE[1]})"
+    least = f"((n * {share[0]} + {share[1] - 1}) DIV {share[1]})"
     rows = rows.select(
         "key",
         "cls",
@@ -490,15 +493,15 @@ def blocks(table: DataFrame) -> DataFrame:
     return rows.filter(F.col("rank") > F.expr(f"{least} * {SPARED[0]} DIV {SPARED[1]}")).drop("rank")
 
 
-def likely(rows: DataFrame) -> DataFrame:
+def likely(rows: DataFrame, share=SHARE) -> DataFrame:
     """Pairs of a block's weightiest class and others that meet it in a quarter of their blocks."""
     top = rows.groupBy("key").agg(F.max(F.struct("weight", "cls", "n")).alias("top"), F.count("*").alias("m"))
     met = rows.join(top.filter("m > 1"), "key").filter("cls <> top.cls")
-    met = met.filter(f"least(n, top.n) * {SHARE[1]} >= greatest(n, top.n) * {SHARE[0]}")
+    met = met.filter(f"least(n, top.n) * {share[1]} >= greatest(n, top.n) * {share[0]}")
     pairs = met.groupBy(F.col("top.cls").alias("a"), F.col("cls").alias("b")).agg(
         F.count("*").alias("times"), F.max("n").alias("n")
     )
-    return pairs.filter(f"times * 4 * {SHARE[1]} >= n * {SHARE[1] - SHARE[0]}").select("a", "b")
+    return pairs.filter(f"times * 4 * {share[1]} >= n * {share[1] - share[0]}").select("a", "b")
 
 
 def _tiled(rows: DataFrame, group: str, tiles: Column, *columns: str) -> DataFrame:
@@ -516,49 +519,51 @@ def _tiled(rows: DataFrame, group: str, tiles: Column, *columns: str) -> DataFra
     return rows.repartition(group, "i", "j").sortWithinPartitions(group, "i", "j")
 
 
-def searched(rows: DataFrame, table: DataFrame, comps: DataFrame) -> DataFrame:
+def searched(rows: DataFrame, table: DataFrame, comps: DataFrame, share=SHARE) -> DataFrame:
     """Pairs ``(a, b)`` that join what some block does not rule out to link."""
     rows = rows.join(comps, "cls", "left").select("key", "cls", "n", F.coalesce("comp", "cls").alias("comp"))
     open_ = rows.groupBy("key").agg(
         F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("n").alias("small"), F.max("n").alias("big"), F.count("*").alias("m")
     )
     # two classes of sizes too far apart need no search
-    open_ = open_.filter(f"lo <> hi AND (m > 2 OR small * {SHARE[1]} >= big * {SHARE[0]})")
+    open_ = open_.filter(f"lo <> hi AND (m > 2 OR small * {share[1]} >= big * {share[0]})")
     sigs = table.groupBy("cls").agg(F.first("sig").alias("sig"))
     rows = rows.join(open_.select("key", "m"), "key").join(sigs, "cls")
     rows = _tiled(rows, "key", F.ceil(F.col("m") / TILE), "cls", "n", "comp", "sig")
-    return rows.mapInArrow(_searched, "a long, b long").distinct()
+    return rows.mapInArrow(lambda batches: _searched(batches, share), "a long, b long").distinct()
 
 
-def decided(pairs: DataFrame, first: DataFrame, comps: DataFrame, docs, table, doc_id="doc_id", text="text") -> DataFrame:
+def decided(
+    pairs: DataFrame, first: DataFrame, comps: DataFrame, docs, table, doc_id="doc_id", text="text", words=WORDS, share=SHARE
+) -> DataFrame:
     """Links ``(a, b)`` between the components that make up the families of ``pairs``."""
     families = components(pairs.unionByName(first)).withColumnRenamed("comp", "family")
     lone = families.select(F.col("family").alias("cls"), "family").distinct()
     rows = families.unionByName(lone).join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     sizes = rows.groupBy("family").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
     rows = stored(rows.join(sizes.filter("lo <> hi").select("family", "m"), "family"))
-    sets = sets_of(rows.select("cls").distinct(), docs, table, doc_id, text)
+    sets = sets_of(rows.select("cls").distinct(), docs, table, doc_id, text, words)
     rows = rows.join(sets, "cls")
     rows = _tiled(rows, "family", F.ceil(F.col("m") / FAMILY_TILE), "cls", "comp", "shingles")
-    return rows.mapInArrow(_decided, "a long, b long")
+    return rows.mapInArrow(lambda batches: _decided(batches, share), "a long, b long")
 
 
-def _named(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+def _named(docs: DataFrame, doc_id: str, text: str, words: int, share: tuple[int, int]) -> DataFrame:
     """Per row: ``doc_id, n, cls, comp``; rows without shingles have no component."""
-    table = stored(classes(docs, doc_id, text))
-    rows = stored(blocks(table.filter("n > 0")))
-    first = stored(verified(stored(likely(rows)), docs, table, doc_id, text))
+    table = stored(classes(docs, doc_id, text, words, share))
+    rows = stored(blocks(table.filter("n > 0"), share))
+    first = stored(verified(stored(likely(rows, share)), docs, table, doc_id, text, words, share))
     comps = components(first)
-    pairs = stored(searched(rows, table, comps))
-    second = decided(pairs, first, comps, docs, table, doc_id, text)
+    pairs = stored(searched(rows, table, comps, share))
+    second = decided(pairs, first, comps, docs, table, doc_id, text, words, share)
     comps = components(first.unionByName(second))
     named = table.select("doc_id", "n", "cls").join(comps, "cls", "left")
     return stored(named.withColumn("comp", F.when(F.col("n") > 0, F.coalesce("comp", "cls"))))
 
 
-def ngram_join(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
+def ngram_join(docs: DataFrame, doc_id="doc_id", text="text", words=WORDS, share=SHARE) -> DataFrame:
     """Per row: ``doc_id, n_shingles, component_id``."""
-    named = _named(docs, doc_id, text)
+    named = _named(docs, doc_id, text, words, share)
     ids = named.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     return named.join(ids, "comp", "left").select(
         "doc_id",
@@ -567,7 +572,7 @@ def ngram_join(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
+def one_of_each(docs: DataFrame, doc_id="doc_id", text="text", words=WORDS, share=SHARE) -> DataFrame:
     """The documents without near copies of others: of each component one row stays.
 
     It is a row with the least id, and of several texts under that id one with the least hash. Rows
@@ -578,7 +583,7 @@ def one_of_each(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
     texts = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
     # the join sees the hash of the text as part of the id, so that both lead back to the row
     key = F.struct(F.col(f"`{doc_id}`").isNull().alias("none"), F.col(f"`{doc_id}`").alias("id"), texts.alias("content"))
-    named = _named(docs.select(key.alias("doc_id"), F.col(f"`{text}`").alias("text")), "doc_id", "text")
+    named = _named(docs.select(key.alias("doc_id"), F.col(f"`{text}`").alias("text")), "doc_id", "text", words, share)
     of = F.col("doc_id.id").alias("of_id"), F.col("doc_id.content").alias("of_content")
     kept = named.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("doc_id")).select(*of)
     bare = named.filter("comp IS NULL").select(*of).distinct()

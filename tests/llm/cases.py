@@ -63,14 +63,14 @@ def secrets(text):
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def shingles(text):
+def shingles(text, n=4):
     w = words((text or "").translate(LOWER))
-    return frozenset(tuple(w[i : i + 4]) for i in range(max(1, len(w) - 3))) if w else frozenset()
+    return frozenset(tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))) if w else frozenset()
 
 
-def linked(texts):
+def linked(texts, n_words=4, share=85):
     """By index: size of the set and least index reachable by links."""
-    sets = [shingles(t) for t in texts]
+    sets = [shingles(t, n_words) for t in texts]
     parent = list(range(len(sets)))
 
     def find(a):
@@ -81,7 +81,7 @@ def linked(texts):
     for i, a in enumerate(sets):
         for j in range(i):
             b = sets[j]
-            if a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and 100 * len(a & b) >= share * len(a | b):
                 x, y = find(i), find(j)
                 parent[max(x, y)] = min(x, y)
     return [(len(s), find(i)) for i, s in enumerate(sets)]

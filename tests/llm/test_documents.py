@@ -82,6 +82,14 @@ def test_secrets_by_owners_and_repositories(spark):
     assert few[0] == f"1:{secret_scan.MAX_REPOSITORIES + 1}"
 
 
+def test_mask_covers_a_value_beyond_a_fixed_span(spark):
+    value = "a1b2c3d4e5f6" * 2 + "XYZQRSTUVWXK9mn8PQ"
+    df = spark.createDataFrame([(1, f"see {value} here", "a")], "doc_id long, text string, source string")
+    row = secret_scan.secret_scan(df).first()
+    assert row.n_hex == 1 and row.spans == "hex:4:28,generic:4:46"
+    assert secret_scan.redact(df).first().text == "see [secret] here"
+
+
 def test_many_spans_in_one_text(spark):
     text = "token=abcdef é" * 1500
     df = spark.createDataFrame([(1, text, "a", len(text))], "doc_id long, text string, source string, n_chars long")
@@ -121,6 +129,14 @@ def test_join_equals_brute_force(spark, monkeypatch, tile, leaf, members):
     assert got == dict(enumerate(linked(texts)))
 
 
+@pytest.mark.parametrize(("n", "share"), [(5, 80), (2, 50), (9, 95)])
+def test_join_of_any_shingles_and_share(spark, n, share):
+    texts = near(150) + TEXTS
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_join(df, words=n, share=(share, 100)).collect()}
+    assert got == dict(enumerate(linked(texts, n, share)))
+
+
 def test_trees_lose_no_pair():
     rng = np.random.default_rng(6)
     sets = []
@@ -372,6 +388,29 @@ def test_surest_of_all_unlabelled_documents(spark):
     assert [(o, label, len(x)) for o, label, x in second] == [(1, 1, 10), (0, 1, 10)]
 
 
+def test_copies_under_many_ids_take_one_place(spark):
+    rows = [(i, "the same words again", "en", "s", 20) for i in range(250)]
+    rows += [(1000 + i, f"other words {i} " * 2, "en", "s", 30) for i in range(7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    labels = spark.createDataFrame([(-1, 1)], "doc_id long, label int")
+    weights = [np.append(np.zeros(d), 9.0) for d in (cotraining.TRIGRAMS + cotraining.RATIOS, cotraining.LANGUAGES + cotraining.SOURCES + 2)]
+    found = cotraining._surest(docs, labels)(weights, {1: 20, 0: 20})
+    assert [(o, label, len(x)) for o, label, x in found] == [(1, 1, 8), (0, 1, 8)]
+    text = next(x for o, _, x in found if o == 0)
+    assert len(np.unique(text, axis=0)) == 8
+
+
+def test_one_row_of_a_repeated_label_is_learned_from(spark):
+    df = spark.createDataFrame([(1, "b", None), (1, "a", "x"), (2, None, "y")] * 3, "doc_id long, text string, lang string")
+    assert sorted(map(tuple, cotraining.once(df).collect())) == [(1, "a", "x"), (2, None, "y")]
+
+
+def test_classifier_takes_an_empty_table(spark, strained):
+    docs = strained.limit(0).select("doc_id", "text", "lang", "source", "n_chars")
+    model = cotraining.fit(docs, docs.selectExpr("doc_id", "1 AS label"))
+    assert model is None and cotraining.scores(docs, model).count() == 0
+
+
 def test_components_of_any_shape(spark):
     rng = random.Random(10)
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(30)]

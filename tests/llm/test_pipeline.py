@@ -18,7 +18,7 @@ def test_each_stage_acts_on_what_it_gets(spark, small):
             assert not any(quality(r.text)[-1] for r in after.values())
         elif name == "near_copies":
             keys = sorted(before)
-            assert set(after) == {keys[c] for _, c in linked([before[k].text for k in keys])}
+            assert set(after) == {keys[c] for _, c in linked([before[k].text for k in keys], 5, 80)}
         else:
             assert set(after) == set(before)
             assert all((r.text != before[k].text) == bool(secrets(before[k].text)) for k, r in after.items())
