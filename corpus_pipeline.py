@@ -2,7 +2,7 @@
 
 1. language: documents in no known language go.
 2. quality: documents that fail the rules go.
-3. near copies: of each group of linked documents one stays.
+3. near copies: of each group of documents linked by 0.8 of their five-word shingles one stays.
 4. secrets: spans that look like credentials are masked.
 5. packing: the texts become sequences of at most 2048 tokens.
 
@@ -30,7 +30,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.one_of_each(docs)
+    return ngram_join.one_of_each(docs, words=5, share=(80, 100))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
