@@ -962,11 +962,10 @@ def graph_search(spark, sf_dir):
 
 
 def _stream(spark, sf_dir) -> DataFrame:
-    source = _read(spark, sf_dir, "embeddings")
+    # a pattern, as a stream takes a single file by no plain path; a folder of files fits it too
     return (
-        spark.readStream.schema(source.schema)
-        .option("pathGlobFilter", "embeddings.parquet")
-        .parquet(sf_dir)
+        spark.readStream.schema(SCHEMAS["embeddings"])
+        .parquet(f"{sf_dir}/embeddings.parque[t]")
         .select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
     )
 

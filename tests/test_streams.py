@@ -136,3 +136,21 @@ def test_concurrent_appends_add_up(spark, tmp_path):
     table = jobs.appended(spark, path, 8)
     assert table.df.select("id").distinct().count() == table.count() == 200
     assert knn.self_knn(table, 1).filter(F.col("distance") == 0).count() == 200
+
+
+def test_queries_stream_a_file_or_a_folder(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    x = data.blobs(60, entry.DIM, 4)
+    rows = data.rows(spark, x).withColumnsRenamed({"id": "vec_id", "vec": "embedding"})
+    rows = rows.withColumn("label", (F.col("vec_id") % 4).cast("int"))
+    rows.repartition(3).write.parquet(str(tmp_path / "folder" / "embeddings.parquet"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "one"))
+    (tmp_path / "file").mkdir()
+    next((tmp_path / "one").glob("part-*.parquet")).rename(tmp_path / "file" / "embeddings.parquet")
+    names = {"stream_append": 60, "stream_append_two_writers": 120, "stream_search": 60, "stream_assign": 60}
+    for name, count in names.items():
+        folder, file = (entry.queries()[name](spark, str(tmp_path / kind)) for kind in ("folder", "file"))
+        id = "qid" if name == "stream_search" else "id"
+        assert folder.select(id).distinct().count() == count
+        assert folder.exceptAll(file).isEmpty() and file.exceptAll(folder).isEmpty()
