@@ -20,7 +20,8 @@ def pad_results(found: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """Exactly k rows per query; a missing rank has id -1 and no distance."""
     check_positive("k", k)
     slots = queries.select("qid", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("rank"))
-    return slots.join(found, ["qid", "rank"], "left").select(
+    # Spark takes a search's result for no larger than its queries and would broadcast it
+    return slots.join(found.hint("merge"), ["qid", "rank"], "left").select(
         "qid", "rank", F.coalesce("id", F.lit(-1).cast("long")).alias("id"), "distance"
     )
 

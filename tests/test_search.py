@@ -211,3 +211,12 @@ def test_queries_that_share_an_id(spark, limit):
             np.testing.assert_allclose([g[2] for g in got], [w[2] for w in want], atol=1e-5)
     finally:
         spark.conf.unset(sizing.BROADCAST_BYTES)
+
+
+def test_padding_broadcasts_no_result(spark):
+    # by its size on disk Spark takes the result for a small one, whatever comes of it
+    table, q = data.points(spark, BASIS4), data.queries(spark, BASIS4[:2])
+    padded = shape.pad_results(knn.knn_join(q, table, 3), q, 6)
+    plan = padded._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert padded.count() == 12
