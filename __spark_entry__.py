@@ -470,7 +470,10 @@ def cosine_knn(spark, sf_dir):
 SELECT {RESULT} FROM found""")
 def knn_customers(spark, sf_dir):
     points = _customers(spark, sf_dir)
-    return _rounded(knn.knn_join(knn.as_queries(points.df, "id"), points, 5))
+    # read several times by a join of two large sides, so aggregated once
+    points = replace(points, df=sizing.cut_lineage(points.df))
+    points = replace(points, rows=points.df.count())
+    return _rounded(knn.knn_join(knn.as_queries(points.df, "id"), points, 5, query_rows=points.rows))
 
 
 @_query(f"""WITH {LINES},

@@ -13,6 +13,10 @@ from nearfield.functions.kernels import Flat, matrix, sq_norms, vectors
 from nearfield.plans import regions, scan, sizing
 from nearfield.sources.table import VectorTable, check_metric, check_positive, checked, whole_id
 
+#: Rows that are broadcast however many queries there are, and pairs beyond which more rows are not.
+FEW_ROWS = 1 << 15
+BROADCAST_PAIRS = 1 << 36
+
 
 def as_queries(df: DataFrame, id: str = "qid", vec: str = "vec") -> DataFrame:
     """Query rows ``(qid, vec)`` from any id and vector column; an id that is no integer fails."""
@@ -35,7 +39,9 @@ def knn_join(
 
     A side within the broadcast limit is broadcast: a small table makes the
     join map-only, small queries make it one scan with a merge of short lists.
-    Two large sides meet in regions of the table, or all in a grid of tiles.
+    Two large sides meet in regions of the table, or all in a grid of tiles, as
+    do a broadcast table's rows with so many queries that scoring all pairs would
+    take longest.
     A query of another size, or with a missing, NaN or infinite element, fails
     the job, as a bad row of the table does. Queries that share an id are each
     answered on their own.
@@ -44,13 +50,16 @@ def knn_join(
     metric = check_metric(metric or table.metric)
     dim = table.dim
     queries = checked(queries.select("qid", "vec"), dim, "qid")
-    rows = table.count()
-    corpus = sizing.small_matrix(table.df, "id", dim, rows)
-    if corpus is not None:
-        return scan.over_queries(queries, corpus, k, metric, dim)
+    spark, rows = queries.sparkSession, table.count()
+    if rows > FEW_ROWS and query_rows is None:
+        query_rows = queries.count()
+    if rows <= FEW_ROWS or rows * query_rows <= BROADCAST_PAIRS:
+        corpus = sizing.small_matrix(table.df, "id", dim, rows)
+        if corpus is not None:
+            return scan.over_queries(queries, corpus, k, metric, dim)
     small = sizing.small_matrix(queries, "qid", dim, query_rows, k)
     if small is not None:
-        small, back = numbered(queries.sparkSession, small)
+        small, back = numbered(spark, small)
         return back(scan.over_corpus(table.df, small, k, metric, Flat(dim)))
     return regions.RegionJoin(queries, table.df, rows, k, metric, dim).result()
 

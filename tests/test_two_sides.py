@@ -93,3 +93,16 @@ def test_one_hot_region(spark, small_limits):
     x = np.concatenate([data.blobs(400, 12, 30, spread=0.01), np.tile(isotropic(1, 9), (300, 1))])
     q = np.concatenate([x[:80], x[400:500]])
     data.same(data.collected(join(spark, q, x, 3).result()), data.brute_force(q, x, 3))
+
+
+def test_many_pairs_meet_in_regions_though_rows_fit_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(knn, "FEW_ROWS", 100)
+    monkeypatch.setattr(knn, "BROADCAST_PAIRS", 10_000)
+    scanned = []
+    monkeypatch.setattr(knn.scan, "over_queries", lambda *args: scanned.append(args))
+    monkeypatch.setattr(knn.scan, "over_corpus", lambda *args: scanned.append(args))
+    monkeypatch.setattr(sizing, "fits", lambda spark, rows, dim, k=0: not k)
+    x, q = data.blobs(400, 12, 20, spread=0.01), data.blobs(120, 12, 20, seed=5)
+    found = knn.knn_join(data.queries(spark, q), data.points(spark, x), 5)
+    assert not scanned
+    data.same(data.collected(found), data.brute_force(q, x, 5))
