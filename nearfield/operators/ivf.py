@@ -149,7 +149,8 @@ def ivf_search(index: IvfIndex, queries: DataFrame, k: int, nprobe: int = 1) ->
     """Top-k among the rows of the ``nprobe`` nearest lists of each query.
 
     With few queries only the probed lists are scanned, in place. With many,
-    both sides are shuffled on the list and long lists are cut into tiles.
+    both sides are shuffled on the list and long lists are cut into tiles; if
+    they probe all lists, the exact join serves.
     Queries that share an id are each answered on their own.
     """
     check_positive("k", k)
@@ -164,6 +165,9 @@ def ivf_search(index: IvfIndex, queries: DataFrame, k: int, nprobe: int = 1) ->
         vectors = pa.table({"qid": pa.array(small[0]), "vec": kernels.vectors(small[1])})
         few = spark.createDataFrame(vectors, "qid long, vec array<float>")
         return back(_scan_lists(index, small, ivf_probes(index, few, nprobe), k))
+    if nprobe == index.nlist and isinstance(index.decode, Flat):
+        # every row is met, so none has to be dealt by its list, nor a query to all lists
+        return knn_join(queries, VectorTable(rows.select("id", "vec"), dim, index.metric), k)
     queries, back = own_ids(queries)
     visits = ivf_probes(index, queries, nprobe).withColumnRenamed("list_id", "cell")
     if _own_base(index):

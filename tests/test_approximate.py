@@ -256,3 +256,12 @@ def test_graph_methods(spark, corpus):
     near = built.edges.selectExpr("src AS qid", "dst AS id")
     assert data.recall(spark, near, true) > 0.9
     assert data.recall(spark, graph.graph_search(built, queries, 10), exact) > 0.85
+
+
+def test_search_of_all_lists_sends_no_query_to_each(spark, monkeypatch):
+    x = data.blobs(300, 8, 6)
+    index = ivf.ivf_build(data.points(spark, x), nlist=6, iterations=2)
+    monkeypatch.setattr(ivf.sizing, "small_matrix", lambda *args, **kw: None)
+    monkeypatch.setattr(ivf, "ivf_probes", None)
+    found = ivf.ivf_search(index, data.queries(spark, x[:40]), 5, nprobe=6)
+    data.same(data.collected(found), data.brute_force(x[:40], x, 5))
