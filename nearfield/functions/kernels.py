@@ -16,6 +16,8 @@ PAIR_BLOCK = 1 << 21
 #: Most queries of one list that read costs from tables, and rows that they look up at a time.
 TABLE_QUERIES = 12
 TABLE_ROWS = 1 << 14
+#: Rows that are compared or put together at a time.
+BLOCK_ROWS = 1 << 13
 # odd 64-bit number near 2**64 over the golden ratio
 HASH_FACTOR = 0x9E3779B97F4A7C15
 NO_ID = np.iinfo(np.int64).max
@@ -249,7 +251,12 @@ class Product:
         """The rows that the codes stand for, with one centroid for all or one for each."""
         books = self.books.value
         m, _, width = books.shape
-        return (books[np.arange(m), codes].reshape(len(codes), m * width) + base).astype(np.float32)
+        out = np.empty((len(codes), m * width), np.float32)
+        for s in range(0, len(codes), BLOCK_ROWS):
+            part = codes[s : s + BLOCK_ROWS]
+            own = base if base.ndim == 1 else base[s : s + BLOCK_ROWS]
+            out[s : s + BLOCK_ROWS] = books[np.arange(m), part].reshape(len(part), m * width) + own
+        return out
 
     def __call__(self, batch) -> np.ndarray:
         if self.coarse is None:

@@ -21,9 +21,9 @@ def broadcast_bytes(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_BYTES, str(64 << 20)))
 
 
-def tile_rows(spark: SparkSession, dim: int) -> int:
-    """Most vectors of one side that may meet in one task's group."""
-    return max(1, int(spark.conf.get(TILE_BYTES, str(32 << 20))) // (4 * dim))
+def tile_rows(spark: SparkSession, dim: int, k: int = 0) -> int:
+    """Most vectors of one side, with ``k`` results for each, that may meet in one task's group."""
+    return max(1, int(spark.conf.get(TILE_BYTES, str(32 << 20))) // (4 * dim + 16 * k))
 
 
 def fits(spark: SparkSession, rows: int, dim: int, k: int = 0) -> bool:

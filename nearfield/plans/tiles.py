@@ -43,7 +43,7 @@ def tile_topk(
     if sizes is None:
         sizes = rows.groupBy("cell").agg(F.count("*").alias("n"))
     visits = probes.groupBy("cell").agg(F.count("*").alias("n"))
-    splits = _parts(visits, limit, "q_parts").join(_parts(sizes, limit, "x_parts"), "cell")
+    splits = _parts(visits, sizing.tile_rows(spark, dim, k), "q_parts").join(_parts(sizes, limit, "x_parts"), "cell")
     if cells * 16 <= sizing.broadcast_bytes(spark):
         splits = F.broadcast(splits)
     left = (

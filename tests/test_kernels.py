@@ -1,3 +1,6 @@
+import tracemalloc
+from types import SimpleNamespace
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -5,7 +8,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from data import brute_force
+from nearfield.functions import kernels
 from nearfield.functions.kernels import TopK, binary_matrix, blobs, matrix, vectors, without_copies
+from nearfield.plans import sizing
 
 
 @settings(max_examples=60, deadline=None)
@@ -63,3 +68,26 @@ def test_arrow_round_trips():
         matrix(pa.array([[1.0, None, 2.0]], pa.list_(pa.float32())), 3)
     with pytest.raises(ValueError, match="12 bytes"):
         binary_matrix(pa.array([b"abc"]), 3, "<f4")
+
+
+def peak(work) -> int:
+    tracemalloc.start()
+    work()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return most
+
+
+def test_putting_rows_together_takes_little_more_than_they_do():
+    rng = np.random.default_rng(4)
+    books, base = rng.normal(size=(16, 32, 4)), rng.normal(size=64)
+    codes = rng.integers(0, 32, (40_000, 16)).astype("u1")
+    decode = kernels.Product(SimpleNamespace(value=books), None)
+    got = decode.vectors(codes, base)
+    assert (got == (books[np.arange(16), codes].reshape(-1, 64) + base).astype("f4")).all()
+    assert (decode.vectors(codes, np.tile(base, (len(codes), 1))) == got).all()
+    assert peak(lambda: decode.vectors(codes, base)) < 2 * got.nbytes
+
+
+def test_tiles_leave_room_for_results(spark):
+    assert sizing.tile_rows(spark, 64, 50) * (4 * 64 + 16 * 50) <= 32 << 20
