@@ -190,16 +190,20 @@ def without_copies(ids: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray | No
         return None
     # a few elements tell most blocks apart; only crowded ones need the whole row
     for step in sorted({max(1, rows.shape[1] // 16), 1}, reverse=True):
-        words = np.ascontiguousarray(rows[:, ::step], np.float32).view(np.uint32)
-        odd = 2 * np.arange(1, words.shape[1] + 1, dtype=np.uint64) + 1
-        key = (words.astype(np.uint64) * (odd * odd * np.uint64(HASH_FACTOR))).sum(axis=1)
+        key = np.zeros(len(rows), np.uint64)
+        for at, column in enumerate(range(0, rows.shape[1], step), 1):
+            word = np.ascontiguousarray(rows[:, column], np.float32).view(np.uint32)
+            key += word * np.uint64((2 * at + 1) ** 2 * HASH_FACTOR % 2**64)
         _, first, group, size = np.unique(
             key, return_index=True, return_inverse=True, return_counts=True
         )
         crowded = np.flatnonzero(size[group] > k)
         if not len(crowded):
             return None
-    copy = (rows[crowded] == rows[first[group[crowded]]]).all(axis=1)
+    copy = np.empty(len(crowded), bool)
+    for s in range(0, len(crowded), BLOCK_ROWS):
+        part = crowded[s : s + BLOCK_ROWS]
+        copy[s : s + BLOCK_ROWS] = (rows[part] == rows[first[group[part]]]).all(axis=1)
     crowded = crowded[copy]
     crowded = crowded[np.lexsort((ids[crowded], group[crowded]))]
     starts = np.searchsorted(group[crowded], group[crowded])

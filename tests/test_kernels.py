@@ -91,3 +91,11 @@ def test_putting_rows_together_takes_little_more_than_they_do():
 
 def test_tiles_leave_room_for_results(spark):
     assert sizing.tile_rows(spark, 64, 50) * (4 * 64 + 16 * 50) <= 32 << 20
+
+
+def test_copies_are_told_in_little_memory():
+    x = np.repeat(np.random.default_rng(5).normal(size=(700, 64)).astype("f4"), 60, 0)
+    ids = np.arange(len(x))
+    kept = kernels.without_copies(ids, x, 10)
+    assert (kept == ids[ids % 60 < 10]).all()
+    assert peak(lambda: kernels.without_copies(ids, x, 10)) < x.nbytes
