@@ -213,9 +213,10 @@ def test_queries_that_share_an_id(spark, limit):
         spark.conf.unset(sizing.BROADCAST_BYTES)
 
 
-def test_padding_broadcasts_no_result(spark):
-    # by its size on disk Spark takes the result for a small one, whatever comes of it
-    table, q = data.points(spark, BASIS4), data.queries(spark, BASIS4[:2])
+def test_padding_broadcasts_no_result(spark, tmp_path):
+    # by the queries' size on disk Spark takes the result for a small one, whatever comes of it
+    data.queries(spark, BASIS4[:2]).write.parquet(str(tmp_path / "queries"))
+    table, q = data.points(spark, BASIS4), spark.read.parquet(str(tmp_path / "queries"))
     padded = shape.pad_results(knn.knn_join(q, table, 3), q, 6)
     plan = padded._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
